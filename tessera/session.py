@@ -49,9 +49,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so lost executors cost no replay."""
+    """Write ``df`` to the shared folder and read it back.
+
+    Lost executors then cost no replay. A written table is used rather than
+    ``checkpoint()``, which carries the constraints of the old plan along:
+    in a loop they grow without end, and planning with them.
+    """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "lineage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
