@@ -1,0 +1,4 @@
+"""Queries over the driver tables, one or more per operator, with SQL twins."""
+
+from tessera.plans import aggregates, filters, joins, multisets  # noqa: F401
+from tessera.plans.registry import OPERATORS, ORACLES, QUERIES  # noqa: F401
