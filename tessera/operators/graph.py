@@ -40,6 +40,7 @@ def shortest_path(edges: DataFrame, start, end, max_hops: int = 10_000) -> DataF
     spark, kind = edges.sparkSession, edges.schema["src"].dataType.simpleString()
     if start == end:
         return _as_rows(spark, [start], kind)
+    edges = cut_lineage(edges.select("src", "dst", "ordinal"))
     front = spark.createDataFrame([(start, [start], [])], f"node {kind}, path array<{kind}>, rank array<bigint>")
     seen = front.select("node")
     for hop in range(1, max_hops + 1):
@@ -103,6 +104,7 @@ def first_path(edges: DataFrame, start, end) -> DataFrame:
     path, and that is one reachability walk.
     """
     spark, kind = edges.sparkSession, edges.schema["src"].dataType.simpleString()
+    edges = cut_lineage(edges.select("src", "dst", "ordinal"))
     path = [start]
     while path[-1] != end:
         step = _first_way_on(edges, path, end)
