@@ -104,7 +104,7 @@ def replay_responses(stream: DataFrame, order, ts: str, path: str, key: str, bod
                   "response string, replayed boolean", extra=[body])
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, bytes_per_trigger: str = "512m") -> DataFrame:
+def table_stream(spark: SparkSession, folder: str, name: str, bytes_per_trigger: int = 512 * 1024 * 1024) -> DataFrame:
     """A parquet table of a folder as a file stream, so many bytes per micro-batch."""
     reader = (spark.readStream.schema(spark.read.parquet(f"{folder}/{name}.parquet").schema)
               .option("maxBytesPerTrigger", bytes_per_trigger))
