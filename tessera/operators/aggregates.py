@@ -12,10 +12,13 @@ from tessera.operators.ordering import _either, _number_by_range, join_on_keys,
 # Words left out of the content-word count.
 STOP_WORDS = ["the", "is", "and", "with", "are", "a", "an", "in", "on", "at"]
 
+# Fixed value: a run of plain letters with no letter, digit or underscore beside it.
+PLAIN_WORD = r"(?<![\p{L}\p{N}_])[a-z]++(?![\p{L}\p{N}_])"
+
 
 def tokens(text: Column) -> Column:
     """Lower-case words of plain letters, bounded like Python's ``\\b[a-zA-Z]+\\b`` (trap 6)."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: w.rlike("^[a-z]+$"))
+    return F.regexp_extract_all(F.lower(text), F.lit(PLAIN_WORD), F.lit(0))
 
 
 def most_common(df: DataFrame, item: str, position: str, n: int, least: bool = False) -> DataFrame:
@@ -149,9 +152,22 @@ def health(df: DataFrame, keys: Sequence[str], status: str) -> DataFrame:
 
 
 def sum_of_squares(df: DataFrame, value: str, name: str = "total") -> DataFrame:
-    """Sum of squares without overflow (G-A24)."""
+    """Sum of squares without overflow (G-A24).
+
+    A square that fits 64 bits is summed as two halves of 32 bits, per task, in
+    plain long arithmetic; only the task totals become decimals.
+    """
+    v = F.col(value).cast("bigint")
+    fits = F.abs(v) <= 3_037_000_499
+    square = F.when(fits, v * v)
     wide = F.col(value).cast("decimal(19,0)")
-    return df.agg(F.sum(wide * wide).alias(name))
+    parts = df.groupBy(F.spark_partition_id().alias("__task")).agg(
+        F.sum(F.shiftright(square, 32)).alias("hi"), F.sum(square.bitwiseAND(F.lit(0xFFFFFFFF))).alias("lo"),
+        F.sum(F.when(~fits, wide * wide)).alias("rest"))
+    def total(name, scale=1):
+        return F.coalesce(F.sum(F.col(name).cast("decimal(38,0)") * F.lit(scale).cast("decimal(11,0)")), F.lit(0))
+    return parts.agg((total("hi", 1 << 32) + total("lo") + F.coalesce(F.sum("rest"), F.lit(0)))
+                     .cast("decimal(38,0)").alias(name))
 
 
 def hit_rate(df: DataFrame, keys: Sequence[str], hit: Column) -> DataFrame:

@@ -12,14 +12,10 @@ from tessera.operators.ordering import join_on_keys, list_parts, number_rows, ru
 SMALL_ROWS = 1_000
 
 
-def rows_as_literal(small: DataFrame, limit: int = SMALL_ROWS) -> Column | None:
-    """A table as one array literal, or None when it has more than ``limit`` rows."""
+def small_rows(small: DataFrame, limit: int = SMALL_ROWS) -> list | None:
+    """Rows of a table, or None when it has more than ``limit``."""
     found = small.take(limit + 1)
-    if len(found) > limit:
-        return None
-    names = small.columns
-    types = {f.name: f.dataType for f in small.schema.fields}
-    return F.array(*[F.struct(*[F.lit(row[n]).cast(types[n]).alias(n) for n in names]) for row in found])
+    return None if len(found) > limit else found
 
 
 def pair_with_small(df: DataFrame, small: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
@@ -28,9 +24,11 @@ def pair_with_small(df: DataFrame, small: DataFrame, limit: int = SMALL_ROWS) ->
     The result has ``limit`` times the rows of ``df`` at most; a larger second
     table is refused, since all pairs of two large tables is not a usable result.
     """
-    values = rows_as_literal(small, limit)
-    if values is None:
+    found = small_rows(small, limit)
+    if found is None:
         raise ValueError(f"the second table of a cross pairing may hold {limit} rows at most")
+    types = {f.name: f.dataType for f in small.schema.fields}
+    values = F.array(*[F.struct(*[F.lit(row[n]).cast(types[n]).alias(n) for n in types]) for row in found])
     return (df.withColumn("__pair", F.explode(values))
             .select(*df.columns, *[F.col(f"__pair.{c}").alias(c) for c in small.columns]))
 
@@ -74,11 +72,18 @@ def tier_lookup(df: DataFrame, volume: str, tiers: DataFrame, threshold: str, pr
     merged with the rows in volume order and carried forward.
     """
     ordered = tiers.select(F.col(threshold).cast("double").alias("t"), F.col(price).alias("p"))
-    steps = rows_as_literal(ordered, limit)
-    if steps is not None:
-        steps = F.array_sort(steps)
-        at = F.filter(steps, lambda s: s["t"] <= F.col(volume))
-        best = F.when(F.size(at) > 0, F.try_element_at(at, F.lit(-1))["p"]).otherwise(steps[0]["p"])
+    steps = small_rows(ordered, limit)
+    if steps:
+        steps = sorted((row["t"], row["p"]) for row in steps)
+        kind = ordered.schema["p"].dataType
+        if len(steps) <= 32:
+            best = F.lit(steps[0][1]).cast(kind)
+            for t, p in steps[1:]:
+                best = F.when(F.col(volume) >= t, F.lit(p).cast(kind)).otherwise(best)
+        else:
+            table = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).cast(kind).alias("p")) for t, p in steps])
+            at = F.filter(table, lambda s: s["t"] <= F.col(volume))
+            best = F.coalesce(F.try_element_at(at, F.lit(-1)), table[0])["p"]
         return df.withColumn(name, F.when(F.col(volume).isNotNull(), best))
     lowest = ordered.agg(F.min("t").alias("__low"))
     rows = join_on_keys(df, lowest, []).withColumn("__at", F.greatest(F.col(volume).cast("double"), "__low"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.operators.aggregates import tokens
 from tessera.operators.ordering import join_on_keys
 from tessera.operators.vectors import ClusteredLists, cosine_distance, literal_vector
+from tessera.session import cut_lineage
 
 K1 = 1.2
 B = 0.75
@@ -31,13 +32,15 @@ def keyword_match(df: DataFrame, text: str, query: str) -> DataFrame:
 def bm25(df: DataFrame, key: str, text: str, query: str, name: str = "score") -> DataFrame:
     """BM25 of each document that holds every query word (V-11), squashed to ``s / (1 + s)``.
 
-    Term counts stay inside the row; the corpus figures are one combined
-    aggregate of a fixed width. Nothing else is shuffled.
+    Each text is read once: a narrow table of lengths and term counts is
+    written, the corpus figures are one combined aggregate of a fixed width over
+    it, and the score is computed from it. The text is not carried along.
     """
     terms = query_terms(query)
-    counted = df.select(*df.columns, tokens(F.col(text)).alias("__tok")).select(
-        *df.columns, F.size("__tok").alias("__len"),
-        *[F.size(_only("__tok", t)).alias(f"__tf{i}") for i, t in enumerate(terms)])
+    kept = [c for c in df.columns if c != text]
+    counted = cut_lineage(df.select(*kept, tokens(F.col(text)).alias("__tok")).select(
+        *kept, F.size("__tok").alias("__len"),
+        *[F.size(_only("__tok", t)).alias(f"__tf{i}") for i, t in enumerate(terms)]))
     figures = counted.agg(F.count(F.lit(1)).alias("__n"), F.avg("__len").alias("__avg"),
                           *[F.count_if(F.col(f"__tf{i}") > 0).alias(f"__df{i}") for i in range(len(terms))])
     matched = counted
@@ -49,7 +52,7 @@ def bm25(df: DataFrame, key: str, text: str, query: str, name: str = "score") ->
         tf, seen = F.col(f"__tf{i}"), F.col(f"__df{i}")
         idf = F.log(1 + (F.col("__n") - seen + 0.5) / (seen + 0.5))
         raw = raw + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("__len") / F.col("__avg")))
-    return rows.withColumn("__s", raw).select(*df.columns, (F.col("__s") / (1 + F.col("__s"))).alias(name))
+    return rows.withColumn("__s", raw).select(*kept, (F.col("__s") / (1 + F.col("__s"))).alias(name))
 
 
 def _only(column: str, term: str) -> Column:
@@ -70,7 +73,7 @@ def hybrid_rank(docs: DataFrame, vectors: DataFrame, key: str, text: str, query:
     near = vectors.select(key, (F.lit(1.0) - cosine_distance(F.col("embedding"), literal_vector(query_vector)))
                           .alias("closeness"))
     a, b = weights
-    ranked = scored.drop(text).join(near, key).withColumn(
+    ranked = scored.join(near, key).withColumn(
         "hybrid", F.lit(a) * F.col("keyword_score") + F.lit(b) * F.col("closeness"))
     return ranked.orderBy(F.desc_nulls_last("hybrid"), key).limit(limit)
 

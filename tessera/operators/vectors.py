@@ -128,11 +128,16 @@ def nearest_each(df: DataFrame, queries: DataFrame, key: str, vector: str, k: in
     found = queries.select("query_id", as_double(F.col("query")).alias("query")).take(QUERY_ROWS + 1)
     if len(found) > QUERY_ROWS:
         raise ValueError(f"ask at most {QUERY_ROWS} queries at a time")
-    asked = F.array(*[F.struct(F.lit(q["query_id"]).alias("id"), literal_vector(q["query"]).alias("v"))
-                      for q in found])
-    rows = df.select(key, vector, F.explode(asked).alias("q"))
-    scored = rows.select(F.col("q.id").alias("query_id"), key,
-                         DISTANCES[metric](F.col(vector), F.col("q.v")).alias("distance"))
+    asked = F.array(*[F.struct(F.lit(q["query_id"]).alias("id"), literal_vector(q["query"]).alias("v"),
+                               F.lit(sum(x * x for x in q["query"]) ** 0.5).alias("norm")) for q in found])
+    rows = df.select(key, vector, magnitude(F.col(vector)).alias("__norm"))
+    rows = rows.select(key, vector, "__norm", F.explode(asked).alias("q"))
+    if metric == "cosine":
+        norms = F.col("__norm") * F.col("q.norm")
+        distance = F.when(norms != 0, F.lit(1.0) - dot(F.col(vector), F.col("q.v")) / norms)
+    else:
+        distance = DISTANCES[metric](F.col(vector), F.col("q.v"))
+    scored = rows.select(F.col("q.id").alias("query_id"), key, distance.alias("distance"))
     return top_per_key(scored, ["query_id"], ["distance", key], k)
 
 

@@ -55,7 +55,7 @@ def _(t):
 @query("character_count", "G-A5", """
 SELECT ch AS item, count(*) AS cnt FROM (SELECT unnest(string_split(text, '')) AS ch FROM documents) WHERE ch <> '' GROUP BY 1""")
 def _(t):
-    chars = t.documents.select(F.explode(F.split("text", "")).alias("ch")).filter("ch <> ''")
+    chars = t.wide("documents", "text").select(F.explode(F.split("text", "")).alias("ch")).filter("ch <> ''")
     return ms.frequency(chars, "ch")
 
 
@@ -89,7 +89,7 @@ _WORDS = r"""WITH w AS (SELECT {key}, unnest(list_filter(string_split_regex(lowe
 SELECT lang, count(*) AS total_words, count(DISTINCT word) AS unique_words,
        round(count(DISTINCT word) / count(*), 6) AS richness FROM w GROUP BY lang""")
 def _(t):
-    stats, _ = ag.text_profile(t.documents, ["lang"], "text")
+    stats, _ = ag.text_profile(t.wide("documents", "lang", "text"), ["lang"], "text")
     return stats.withColumn("richness", r("richness"))
 
 
@@ -98,7 +98,7 @@ SELECT lang, word, cnt, rn FROM (SELECT *, row_number() OVER (PARTITION BY lang
  (SELECT lang, word, count(*) AS cnt FROM w WHERE word NOT IN ('the','is','and','with','are','a','an','in','on','at')
   GROUP BY 1, 2)) WHERE rn <= 5""")
 def _(t):
-    return ag.text_profile(t.documents, ["lang"], "text")[1]
+    return ag.text_profile(t.wide("documents", "lang", "text"), ["lang"], "text")[1]
 
 
 _QUALITY = """WITH s AS (SELECT nullif(event_type, 'error') AS kind, CASE WHEN value < 1 THEN '' ELSE 'v' END AS size FROM events),
@@ -147,7 +147,7 @@ SELECT doc_id, word, cnt, CAST(first_at AS INT) AS first_at, rn FROM (SELECT *,
   row_number() OVER (PARTITION BY doc_id ORDER BY cnt DESC, first_at) AS rn FROM
  (SELECT doc_id, word, count(*) AS cnt, min(loc) AS first_at FROM w GROUP BY 1, 2)) WHERE rn <= 3""")
 def _(t):
-    return ag.top_words(t.documents, "doc_id", "text")
+    return ag.top_words(t.wide("documents", "doc_id", "text"), "doc_id", "text")
 
 
 @query("group_into_lists", "G-A14", """
@@ -233,7 +233,7 @@ def _(t):
 SELECT doc_id, CAST(list_max(list_transform(string_split(text, ' '), lambda w: length(w))) AS INT) AS longest FROM documents""")
 def _(t):
     words = F.transform(F.split("text", " "), lambda w: F.struct(w.alias("name"), F.length(w).alias("score")))
-    scores = t.documents.select("doc_id", words.alias("users"))
+    scores = t.wide("documents", "doc_id", "text").select("doc_id", words.alias("users"))
     return scores.select("doc_id", F.array_max(F.transform("users", lambda u: u["score"])).alias("longest"))
 
 

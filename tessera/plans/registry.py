@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.readers import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 OPERATORS: dict[str, str] = {}
@@ -19,6 +21,10 @@ class Tables:
         self.spark = spark
         self.folder = folder
 
+    def wide(self, name: str, *columns: str) -> DataFrame:
+        """A table with much work per row, read by all cores."""
+        return spread(self.__getattr__(name).select(*columns))
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 

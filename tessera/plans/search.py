@@ -78,7 +78,7 @@ SELECT query_id, vec_id, round(d, 6) AS distance, rn FROM (SELECT *, row_number(
  FROM (SELECT query_id, vec_id, 1 - list_cosine_similarity(CAST(embedding AS DOUBLE[]), q) AS d FROM q, embeddings)) WHERE rn <= 5""")
 def _(t):
     queries = t.embeddings.groupBy(F.col("label").alias("query_id")).agg(F.min_by("embedding", "vec_id").alias("query"))
-    return (vc.nearest_each(t.embeddings, queries, "vec_id", "embedding", 5).withColumn("distance", r("distance")))
+    return (vc.nearest_each(t.wide("embeddings", "vec_id", "embedding"), queries, "vec_id", "embedding", 5).withColumn("distance", r("distance")))
 
 
 @query("filtered_nearest", "V-7", _KNN.format(where="label = 3", k=10))
@@ -120,12 +120,12 @@ s AS (SELECT c.*, ln(1 + (n - d0 + 0.5::DOUBLE) / (d0 + 0.5::DOUBLE)) * f0 * 2.2
 
 @query("keyword_match", "V-10", _TOK + "SELECT doc_id FROM d WHERE list_has_all(tok, ['the', 'with'])")
 def _(t):
-    return se.keyword_match(t.documents, "text", "The, with!").select("doc_id")
+    return se.keyword_match(t.wide("documents", "doc_id", "text"), "text", "The, with!").select("doc_id")
 
 
 @query("keyword_score", "V-11", _BM25 + "SELECT doc_id, round(s / (1 + s), 6) AS score FROM s")
 def _(t):
-    return se.bm25(t.documents.select("doc_id", "text"), "doc_id", "text", "the with").select("doc_id", r("score").alias("score"))
+    return se.bm25(t.wide("documents", "doc_id", "text"), "doc_id", "text", "the with").select("doc_id", r("score").alias("score"))
 
 
 @query("hybrid_rank", "V-12", _BM25 + f""",
@@ -137,7 +137,7 @@ def _(t):
 
 
 def hybrid(t):
-    docs = t.documents.select("doc_id", "text", "lang")
+    docs = t.wide("documents", "doc_id", "text", "lang")
     vectors = t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding")
     ranked = se.hybrid_rank(docs, vectors, "doc_id", "text", "the with", q0(t), where=F.col("lang") == "en")
     return ranked.select("doc_id", *[r(c).alias(c) for c in ("keyword_score", "closeness", "hybrid")])

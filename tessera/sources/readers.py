@@ -21,6 +21,17 @@ def from_pandas(spark: SparkSession, frame: pd.DataFrame, schema: str | None = N
     return spark.createDataFrame(frame, schema) if schema else spark.createDataFrame(frame)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give each core work when a scan has fewer partitions than cores.
+
+    For small tables with much work per row, such as texts. A large table has
+    more splits than cores and is left as it is. Takes a scan, not a joined or
+    grouped frame.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def csv_rows(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header row, all values text (S-4). Partitions take the place of chunks."""
     return spark.read.option("header", True).option("multiLine", False).csv(path)
