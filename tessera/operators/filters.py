@@ -127,7 +127,7 @@ def _v4_number(host: Column) -> Column:
 def url_verdict(df: DataFrame, url: str, compat: bool = False, name: str = "verdict") -> DataFrame:
     """``ok`` or the reason to refuse a URL (P-18).
 
-    ``compat`` lets private addresses pass, as the notes in fact do.
+    ``compat`` lets private addresses pass.
     """
     parts = F.regexp_extract
     rest = F.col(url)

@@ -163,8 +163,8 @@ class ClusteredLists:
             sample = sample.sample(fraction=min(1.0, wanted / total), seed=seed)
         model = KMeans(k=lists, seed=seed, featuresCol="__f", predictionCol="list_id", maxIter=10).fit(sample)
         path = path or scratch_path(spark, "lists")
-        (model.transform(featured).drop("__f").repartition("list_id", F.pmod(F.hash(key), F.lit(16)))
-              .write.partitionBy("list_id").parquet(path))
+        # Rebalancing splits a list that holds much of the data and merges small ones.
+        (model.transform(featured).drop("__f").hint("rebalance", F.col("list_id")).write.partitionBy("list_id").parquet(path))
         centres = [[float(x) for x in c] for c in model.clusterCenters()]
         return cls(spark.read.parquet(path), centres, key, vector)
 

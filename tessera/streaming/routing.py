@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 
 from tessera.operators import dml
 from tessera.operators.joins import order_view
-from tessera.session import scratch_path
+from tessera.operators.ordering import top_per_key
+from tessera.session import cut_lineage, scratch_path
+from tessera.sources.sinks import write_batches
 from tessera.streaming.stateful import run_batches
 
 
@@ -50,25 +52,41 @@ def route_stream(stream: DataFrame, kind: str, known: Sequence[str]) -> tuple[Da
 
 
 class View:
-    """A table kept by upserts: version ``n`` is the view after micro-batch ``n``.
+    """A table kept by upserts from micro-batches, merged when it is read.
 
-    A repeated batch rewrites its own version from the one before it.
+    A micro-batch appends its rows under its number; a repeated batch
+    overwrites its own. Reading takes the newest row of each key, and every
+    ``compact_every`` batches the merged table becomes the new base, so neither
+    a batch nor a read grows with the whole history.
     """
 
-    def __init__(self, spark: SparkSession, schema, path: str | None = None):
-        self.spark, self.schema = spark, schema
-        self.path, self.last = path or scratch_path(spark, "view"), -1
-
-    def read(self, version: int | None = None) -> DataFrame:
-        version = self.last if version is None else version
-        if version < 0:
+    def __init__(self, spark: SparkSession, schema: T.StructType, key: str, path: str | None = None,
+                 compact_every: int = 50):
+        self.spark, self.schema, self.key = spark, schema, key
+        self.path, self.compact_every = path or scratch_path(spark, "view"), compact_every
+        self.base, self.numbers = None, []
+
+    def upsert(self, rows: DataFrame, number: int) -> None:
+        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
+        if number not in self.numbers:
+            self.numbers.append(number)
+        if len(self.numbers) >= self.compact_every:
+            merged = f"{self.path}/base={number}"
+            self.read().write.mode("overwrite").parquet(merged)
+            self.base, self.numbers = merged, []
+
+    def read(self) -> DataFrame:
+        parts = [(-1, self.base)] if self.base else []
+        parts += [(n, f"{self.path}/batch={n}") for n in self.numbers]
+        if not parts:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{version}")
-
-    def upsert(self, rows: DataFrame, key: str, number: int) -> None:
-        new, _ = dml.upsert(self.read(number - 1), rows, key, [c for c in rows.columns if c != key])
-        new.write.mode("overwrite").parquet(f"{self.path}/v{number}")
-        self.last = number
+        stacked = None
+        for n, folder in parts:
+            rows = self.spark.read.schema(self.schema).parquet(folder).withColumn("__n", F.lit(n))
+            stacked = rows if stacked is None else stacked.unionByName(rows)
+        if len(parts) == 1:
+            return stacked.drop("__n")
+        return top_per_key(stacked, [self.key], ["-__n"], 1).drop("__n", "rn")
 
 
 def project_orders(stream: DataFrame, users: DataFrame, items: DataFrame) -> View:
@@ -79,12 +97,12 @@ def project_orders(stream: DataFrame, users: DataFrame, items: DataFrame) -> Vie
         nonlocal view
         rows = order_view(batch.dropDuplicates(["order_id"]), users, items)
         if view is None:
-            view = View(batch.sparkSession, rows.schema)
-        view.upsert(rows, "order_id", number)
+            view = View(batch.sparkSession, rows.schema, "order_id")
+        view.upsert(rows, number)
 
     run_batches(stream, handle, "project")
     return view or View(stream.sparkSession, order_view(
-        stream.sparkSession.createDataFrame([], stream.schema), users, items).schema)
+        stream.sparkSession.createDataFrame([], stream.schema), users, items).schema, "order_id")
 
 
 def outbox_round(outbox: DataFrame, now, limit: int = 100) -> tuple[DataFrame, DataFrame]:
@@ -95,24 +113,19 @@ def outbox_round(outbox: DataFrame, now, limit: int = 100) -> tuple[DataFrame, D
     return chosen, stamped
 
 
-def drain_outbox(outbox: DataFrame, now, publish, limit: int = 100, rounds: int | None = None) -> DataFrame:
-    """Publish until nothing is left (ST-9); one query takes the place of concurrent pollers.
+def drain_outbox(outbox: DataFrame, now, send: Callable[[list], None], limit: int = 100) -> DataFrame:
+    """Publish everything unpublished, ``limit`` rows at a time, and stamp it (ST-9).
 
-    Events go out in rounds of ``limit`` rows; the outbox is written after each
-    round, so a broken run goes on where it stopped.
+    The pending rows are range-sorted by age, and each task sends its range in
+    batches, oldest first: tasks take the place of the concurrent pollers, each
+    with rows of its own. The stamp follows once all are sent, so a broken run
+    may send a row again but loses none.
     """
-    from tessera.session import cut_lineage
-
-    done = 0
-    while rounds is None or done < rounds:
-        chosen, stamped = outbox_round(outbox, now, limit)
-        chosen = cut_lineage(chosen)
-        if not chosen.take(1):
-            break
-        publish(chosen)
-        outbox = cut_lineage(stamped)
-        done += 1
-    return outbox
+    pending = cut_lineage(outbox.filter(F.col("published_at").isNull()))
+    ordered = pending.repartitionByRange("created_at", "id").sortWithinPartitions("created_at", "id")
+    write_batches(ordered, send, limit)
+    sent = pending.select(F.col("id").alias("sent_id"), F.lit(now).alias("stamp"))
+    return dml.update_from(outbox, sent, ("id", "sent_id"), {"published_at": "stamp"})[0]
 
 
 def fan_out(messages: DataFrame, members: DataFrame, channel: str) -> DataFrame:

@@ -140,9 +140,27 @@ def test_strict_routing(table):
         rt.route(table, "k", ["a"], strict=True)[0].collect()
 
 
-def test_outbox(spark):
+def test_outbox(spark, tmp_path):
     df = spark.range(25).select("id", F.col("id").alias("created_at"), F.when(F.col("id") < 3, "old").alias("published_at"))
-    sent = []
-    left = rt.drain_outbox(df, "now", lambda d: sent.append([r["id"] for r in d.orderBy("id").collect()]), limit=10)
-    assert [len(s) for s in sent] == [10, 10, 2] and sent[0][0] == 3
+    folder = str(tmp_path)
+
+    def send(batch):
+        import uuid
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write(",".join(str(row["id"]) for row in batch))
+
+    left = rt.drain_outbox(df, "now", send, limit=10)
+    sent = [[int(x) for x in p.read_text().split(",")] for p in tmp_path.iterdir()]
+    assert sorted(x for s in sent for x in s) == list(range(3, 25))
+    assert all(s == sorted(s) and len(s) <= 10 for s in sent)
     assert left.filter("published_at IS NULL").count() == 0 and left.filter("published_at = 'old'").count() == 3
+
+
+@pytest.mark.parametrize("every", [2, 50])
+def test_view(spark, every):
+    schema = spark.createDataFrame([], "id int, v string").schema
+    view = rt.View(spark, schema, "id", compact_every=every)
+    assert view.read().count() == 0
+    for n, data in enumerate([[(1, "a"), (2, "a")], [(2, "b"), (3, "b")], [(1, "c")], [(1, "c")]]):
+        view.upsert(spark.createDataFrame(data, schema), min(n, 2))
+    assert rows(view.read()) == [(1, "c"), (2, "b"), (3, "b")]
