@@ -154,20 +154,23 @@ def health(df: DataFrame, keys: Sequence[str], status: str) -> DataFrame:
 def sum_of_squares(df: DataFrame, value: str, name: str = "total") -> DataFrame:
     """Sum of squares without overflow (G-A24).
 
-    A square that fits 64 bits is summed as two halves of 32 bits, per task, in
-    plain long arithmetic; only the task totals become decimals.
+    A square that fits 63 bits is summed as three limbs of 21 bits in plain long
+    arithmetic, good for 2^42 rows. Larger values are found by a range filter,
+    which the scan can answer from its statistics, and summed as decimals.
     """
     v = F.col(value).cast("bigint")
-    fits = F.abs(v) <= 3_037_000_499
-    square = F.when(fits, v * v)
-    wide = F.col(value).cast("decimal(19,0)")
-    parts = df.groupBy(F.spark_partition_id().alias("__task")).agg(
-        F.sum(F.shiftright(square, 32)).alias("hi"), F.sum(square.bitwiseAND(F.lit(0xFFFFFFFF))).alias("lo"),
-        F.sum(F.when(~fits, wide * wide)).alias("rest"))
-    def total(name, scale=1):
-        return F.coalesce(F.sum(F.col(name).cast("decimal(38,0)") * F.lit(scale).cast("decimal(11,0)")), F.lit(0))
-    return parts.agg((total("hi", 1 << 32) + total("lo") + F.coalesce(F.sum("rest"), F.lit(0)))
-                     .cast("decimal(38,0)").alias(name))
+    top = 3_037_000_499
+    square = F.when(v.between(-top, top), v * v)
+    mask = F.lit((1 << 21) - 1)
+    limbs = df.agg(*[F.sum(F.shiftright(square, 21 * i).bitwiseAND(mask)).alias(f"__l{i}") for i in range(3)])
+    wide = v.cast("decimal(19,0)")
+    large = df.filter((v > top) | (v < -top)).agg(F.sum(wide * wide).alias("__large"))
+
+    def part(name: str, scale: int) -> Column:
+        return F.coalesce(F.col(name).cast("decimal(24,0)") * F.lit(scale).cast("decimal(14,0)"), F.lit(0))
+
+    total = part("__l0", 1) + part("__l1", 1 << 21) + part("__l2", 1 << 42) + F.coalesce("__large", F.lit(0))
+    return join_on_keys(limbs, large, []).select(total.cast("decimal(38,0)").alias(name))
 
 
 def hit_rate(df: DataFrame, keys: Sequence[str], hit: Column) -> DataFrame:
