@@ -87,6 +87,6 @@ def fold_groups(df: DataFrame, keys: Sequence[str], value: str, step: Callable,
 
     pieces = df.select(*keys, value).mapInPandas(partial, schema)
     slice_keys = [*keys, "__slice"]
-    sliced = pieces.withColumn("__slice", F.pmod(F.monotonically_increasing_id(), F.lit(slices)))
+    sliced = pieces.withColumn("__slice", F.spark_partition_id() % slices)
     merged = (sliced.repartition(*slice_keys).sortWithinPartitions(*keys).drop("__slice").mapInPandas(final, schema))
     return merged.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(final, schema)

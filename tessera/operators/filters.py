@@ -80,8 +80,9 @@ def unique_first(df: DataFrame, items: Sequence[str], position: str) -> DataFram
 
 def gate_batches(df: DataFrame, batch: Sequence[str], valid: Column) -> DataFrame:
     """Rows of those batches in which every row is valid (P-17)."""
-    bad = df.filter(~F.coalesce(valid, F.lit(False))).select(*batch).distinct()
-    return df.join(bad, list(batch), "left_anti")
+    bad = df.filter(~F.coalesce(valid, F.lit(False))).select(*[F.col(b).alias(f"__b_{b}") for b in batch]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"__b_{b}")) for b in batch])
+    return df.join(bad, same, "left_anti")
 
 
 CSV_RULE = (lambda line: F.contains(line, F.lit(",")), F.upper)

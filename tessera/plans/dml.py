@@ -183,11 +183,11 @@ def _(t):
 
 
 @query("patch_allowed", "M-11", """
-SELECT c_custkey, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE c_name END AS c_name, c_acctbal
+SELECT c_custkey, CASE WHEN s_acctbal > 4000 THEN s_name ELSE c_name END AS c_name, c_acctbal
 FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey""")
 def _(t):
     changes = t.supplier.select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"),
-                                (F.col("s_suppkey") % 2 == 0).alias("c_name_sent"),
+                                (F.col("s_acctbal") > 4000).alias("c_name_sent"),
                                 F.lit(0.0).alias("c_acctbal"), F.lit(True).alias("c_acctbal_sent"))
     return dml.patch(t.customer.select("c_custkey", "c_name", "c_acctbal"), changes, "c_custkey", ["c_name"])[0]
 

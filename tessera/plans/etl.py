@@ -27,15 +27,15 @@ def _(t):
     return etl.upload_rows(mailed(t))
 
 
-_PEOPLE = """WITH p AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'x' ELSE c_name END AS name,
- CASE WHEN c_custkey % 5 = 0 THEN 'bad' ELSE 'user' || c_custkey || '@mail.org' END AS email, CAST(floor(c_acctbal / 70) AS BIGINT) AS age FROM customer) """
+_PEOPLE = """WITH p AS (SELECT c_custkey, CASE WHEN c_nationkey = 7 THEN 'x' ELSE c_name END AS name,
+ CASE WHEN c_mktsegment = 'BUILDING' THEN 'bad' ELSE 'user' || c_custkey || '@mail.org' END AS email, CAST(floor(c_acctbal / 70) AS BIGINT) AS age FROM customer) """
 
 
 def people(t):
     key = F.col("c_custkey")
     return t.customer.select(
-        "c_custkey", F.when(key % 7 == 0, "x").otherwise(F.col("c_name")).alias("name"),
-        F.when(key % 5 == 0, "bad").otherwise(F.concat(F.lit("user"), key, F.lit("@mail.org"))).alias("email"),
+        "c_custkey", F.when(F.col("c_nationkey") == 7, "x").otherwise(F.col("c_name")).alias("name"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "bad").otherwise(F.concat(F.lit("user"), key, F.lit("@mail.org"))).alias("email"),
         F.floor(F.col("c_acctbal") / 70).alias("age"), F.lit("secret").alias("password"))
 
 
@@ -57,20 +57,20 @@ def _(t):
 
 
 @query("graded_people", "E-3", """
-WITH g AS (SELECT c_name AS name, c_custkey % 60 AS age, c_acctbal AS score, c_mktsegment AS city,
- CASE WHEN c_acctbal >= 90 THEN 'A' WHEN c_acctbal >= 80 THEN 'B' ELSE 'C' END AS grade FROM customer WHERE c_custkey % 60 >= 25)
+WITH g AS (SELECT c_name AS name, CAST(floor(c_acctbal / 90) AS BIGINT) AS age, c_acctbal / 100 AS score, c_mktsegment AS city,
+ CASE WHEN c_acctbal / 100 >= 90 THEN 'A' WHEN c_acctbal / 100 >= 80 THEN 'B' ELSE 'C' END AS grade FROM customer WHERE floor(c_acctbal / 90) >= 25)
 SELECT row_number() OVER (ORDER BY score DESC, name) AS pos, name || ' (' || age || ') - Grade ' || grade || ' - ' || city AS line FROM g""")
 def _(t):
-    rows = t.customer.select(F.col("c_name").alias("name"), (F.col("c_custkey") % 60).alias("age"),
-                             F.col("c_acctbal").alias("score"), F.col("c_mktsegment").alias("city"))
+    rows = t.customer.select(F.col("c_name").alias("name"), F.floor(F.col("c_acctbal") / 90).alias("age"),
+                             (F.col("c_acctbal") / 100).alias("score"), F.col("c_mktsegment").alias("city"))
     return etl.graded_people(rows).select("pos", "line")
 
 
 @query("guard_chain", "E-4", """
-SELECT event_id, CASE WHEN event_type = 'error' THEN 401 WHEN value > 100 THEN 429 WHEN user_id % 4 = 0 THEN 403 ELSE 200 END AS code FROM events""")
+SELECT event_id, CASE WHEN event_type = 'error' THEN 401 WHEN value > 100 THEN 429 WHEN event_type = 'signup' THEN 403 ELSE 200 END AS code FROM events""")
 def _(t):
     return etl.guard_chain(t.events, [(401, F.col("event_type") != "error"), (429, F.col("value") <= 100),
-                                      (403, F.col("user_id") % 4 != 0)]).select("event_id", "code")
+                                      (403, F.col("event_type") != "signup")]).select("event_id", "code")
 
 
 @query("error_envelope", "E-5", """

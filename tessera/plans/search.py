@@ -87,10 +87,14 @@ def _(t):
             .withColumn("distance", r("distance")))
 
 
-@query("intent_nearest", "V-8", _KNN.format(where="label IN (1, 2, 3, 4) AND vec_id <= 300", k=20))
+@query("intent_nearest", "V-8", f"""
+SELECT vec_id, label, lang, n_chars, round(d, 6) AS distance FROM (SELECT vec_id, label, lang, n_chars,
+ 1 - list_cosine_similarity({_E}, {_Q}) AS d FROM embeddings JOIN documents ON doc_id = vec_id)
+WHERE label IN (1, 2, 3, 4) AND lang = 'en' AND n_chars <= 5000 ORDER BY d, vec_id LIMIT 20""")
 def _(t):
-    intent = matches({"label": [1, 2, 3, 4], "vec_id": ("<=", 300)})
-    return (vc.nearest(t.embeddings, q0(t), "vec_id", "embedding", 20, where=intent)
+    intent = matches({"label": [1, 2, 3, 4], "lang": "en", "n_chars": ("<=", 5000)})
+    meta = t.documents.select(F.col("doc_id").alias("vec_id"), "lang", "n_chars")
+    return (vc.nearest(t.embeddings.join(meta, "vec_id"), q0(t), "vec_id", "embedding", 20, where=intent)
             .withColumn("distance", r("distance")))
 
 

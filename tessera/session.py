@@ -43,9 +43,23 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder for a table written by a job."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables this process wrote; results that read them must be stored first."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -351,6 +351,18 @@ def test_batched_sink(spark, tmp_path):
     assert sorted(int(p.read_text()) for p in tmp_path.iterdir()) == [201, 500, 500]
 
 
+def test_scratch_is_cleared(spark, tmp_path):
+    from pathlib import Path
+    from tessera import session
+    kept, session._written = session._written, []
+    session.cut_lineage(spark.range(3)).count()
+    path = Path(session._written[0].removeprefix("file:"))
+    assert path.exists()
+    session.clear_scratch(spark)
+    assert not path.exists()
+    session._written = kept
+
+
 def test_guards(spark):
     assert one(spark, it.has_role(F.lit("admin"), "editor")) and not one(spark, it.has_role(F.lit("guest"), "viewer"))
     calls = []

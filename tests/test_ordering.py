@@ -65,7 +65,7 @@ def test_fold_rows(table):
 
     a, b = both(lambda h: od.fold_rows(table, ["k"], ["id"], ["id"],
                                        lambda s, t: greedy(s, int(t)), "taken boolean",
-                                       hot_rows=h, block_rows=11))
+                                       hot_rows=h, block_rows=40))
     assert a == b
     last, want = {}, []
     for k, v, i, x in sorted((tuple(r) for r in table.collect()), key=lambda r: r[2]):
