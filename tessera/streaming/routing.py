@@ -64,7 +64,18 @@ class View:
                  compact_every: int = 50):
         self.spark, self.schema, self.key = spark, schema, key
         self.path, self.compact_every = path or scratch_path(spark, "view"), compact_every
-        self.base, self.numbers = None, []
+        self.base, self.numbers = self._found() if path else (None, [])
+
+    def _found(self) -> tuple[str | None, list[int]]:
+        """Base and later batches that are completely written under the path, after a restart."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/*/_SUCCESS")
+        marks = path.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(path)
+        names = [m.getPath().getParent().getName().split("=") for m in marks]
+        bases = [int(n) for kind, n in names if kind == "base"]
+        last = max(bases, default=-1)
+        later = sorted(int(n) for kind, n in names if kind == "batch" and int(n) > last)
+        return (f"{self.path}/base={last}" if bases else None), later
 
     def upsert(self, rows: DataFrame, number: int) -> None:
         rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
@@ -89,20 +100,25 @@ class View:
         return top_per_key(stacked, [self.key], ["-__n"], 1).drop("__n", "rn")
 
 
-def project_orders(stream: DataFrame, users: DataFrame, items: DataFrame) -> View:
-    """Keep the order view up to date from a stream of created orders (ST-8)."""
+def project_orders(stream: DataFrame, users: DataFrame, items: DataFrame, path: str | None = None) -> View:
+    """Keep the order view up to date from a stream of created orders (ST-8).
+
+    With a ``path`` the view and the stream's progress live there and go on
+    after a restart.
+    """
     view = None
 
     def handle(batch: DataFrame, number: int) -> None:
         nonlocal view
         rows = order_view(batch.dropDuplicates(["order_id"]), users, items)
         if view is None:
-            view = View(batch.sparkSession, rows.schema, "order_id")
+            view = View(batch.sparkSession, rows.schema, "order_id", path and f"{path}/view")
         view.upsert(rows, number)
 
-    run_batches(stream, handle, "project")
+    run_batches(stream, handle, "project", path)
     return view or View(stream.sparkSession, order_view(
-        stream.sparkSession.createDataFrame([], stream.schema), users, items).schema, "order_id")
+        stream.sparkSession.createDataFrame([], stream.schema), users, items).schema, "order_id",
+        path and f"{path}/view")
 
 
 def outbox_round(outbox: DataFrame, now, limit: int = 100) -> tuple[DataFrame, DataFrame]:

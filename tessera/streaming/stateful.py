@@ -121,9 +121,10 @@ def run_to_table(stream: DataFrame, label: str = "stream") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/data")
 
 
-def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], label: str = "batches") -> None:
-    """Run a stream to its end, each micro-batch through ``handle``."""
-    path = scratch_path(stream.sparkSession, label)
+def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], label: str = "batches",
+                path: str | None = None) -> None:
+    """Run a stream to its end, each micro-batch through ``handle``; ``path`` keeps its progress."""
+    path = path or scratch_path(stream.sparkSession, label)
     query = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{path}/log")
              .trigger(availableNow=True).start())
     query.awaitTermination()

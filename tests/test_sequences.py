@@ -157,10 +157,23 @@ def test_outbox(spark, tmp_path):
 
 
 @pytest.mark.parametrize("every", [2, 50])
-def test_view(spark, every):
+def test_view(spark, every, tmp_path):
     schema = spark.createDataFrame([], "id int, v string").schema
-    view = rt.View(spark, schema, "id", compact_every=every)
+    path = str(tmp_path / "view")
+    view = rt.View(spark, schema, "id", path, compact_every=every)
     assert view.read().count() == 0
     for n, data in enumerate([[(1, "a"), (2, "a")], [(2, "b"), (3, "b")], [(1, "c")], [(1, "c")]]):
         view.upsert(spark.createDataFrame(data, schema), min(n, 2))
     assert rows(view.read()) == [(1, "c"), (2, "b"), (3, "b")]
+    assert rows(rt.View(spark, schema, "id", path).read()) == rows(view.read())
+
+
+def test_projection_goes_on_after_a_restart(spark, tmp_path):
+    users = spark.createDataFrame([(1, "Ann")], "user_id int, user_name string")
+    items = spark.createDataFrame([(10, 2.0), (11, 3.0)], "order_id int, amount double")
+    for n in (10, 11):
+        (spark.createDataFrame([(n, 1, "new")], "order_id int, user_id int, status string").coalesce(1)
+         .write.mode("append").parquet(str(tmp_path / "in")))
+        stream = spark.readStream.schema("order_id int, user_id int, status string").parquet(str(tmp_path / "in"))
+        view = rt.project_orders(stream, users, items, str(tmp_path / "out"))
+    assert rows(view.read().select("order_id", "total_amount")) == [(10, 2.0), (11, 3.0)]
