@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.arrays import U64, Block, mix, pieces, runs_hash, texts_of
+from tessera.llm.arrays import U64, Block, mix, pieces, runs_hash
 
 BUCKET_BYTES = 4 << 20
 
@@ -31,8 +31,7 @@ def document_terms(block: Block) -> tuple[np.ndarray, np.ndarray]:
 def _frequencies(batches):
     """Batch function: in how many of the texts each term occurs."""
     for batch in batches:
-        texts = texts_of(batch.column(0))
-        held = [document_terms(Block(texts[a:b]))[1] for a, b in pieces(batch, texts)]
+        held = [document_terms(Block(texts))[1] for _, _, texts in pieces(batch.column(0))]
         if held:
             terms, counts = np.unique(np.concatenate(held), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], ["term", "n"])

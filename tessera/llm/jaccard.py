@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.arrays import U64, Block, mix, pieces, prefix, runs_hash, texts_of
+from tessera.llm.arrays import U64, Block, mix, pieces, prefix, runs_hash
 from tessera.llm.graph import components
 from tessera.llm.repeats import text_key
 from tessera.session import cut_lineage
@@ -68,10 +68,9 @@ def _signatures(n: int, bands: int, rows: int):
     def run(batches):
         hashes = Bands(bands, rows)
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            for a, b in pieces(batch, texts):
+            for a, b, texts in pieces(batch.column(1)):
                 out = []
-                for values in shingle_sets(Block(texts[a:b]), n):
+                for values in shingle_sets(Block(texts), n):
                     size = len(values)
                     one, two = (int(mix(values + U64(s)).sum(dtype=np.uint64).view(np.int64)) for s in (1, 2))
                     out.append((one, two, size, hashes(values) if size else None))
@@ -91,9 +90,8 @@ def _members(n: int, bands: int, rows: int):
     def run(batches):
         hashes = Bands(bands, rows)
         for batch in batches:
-            texts = texts_of(batch.column(0))
-            for a, b in pieces(batch, texts):
-                sets = shingle_sets(Block(texts[a:b]), n)
+            for a, b, texts in pieces(batch.column(0)):
+                sets = shingle_sets(Block(texts), n)
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(i) for i in range(1, 6)], pa.array([v.tobytes() for v in sets], pa.binary()),

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.arrays import U64, Block, pieces, prefix, rolling, runs_hash, texts_of
+from tessera.llm.arrays import U64, Block, pieces, prefix, rolling, runs_hash
 from tessera.session import cut_lineage
 
 # Phrases and labels of the base search.
@@ -76,9 +76,8 @@ def _hits(wanted: np.ndarray, k: int):
 
     def run(batches):
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            for a, b in pieces(batch, texts):
-                block, starts, ends, low, high, grams = _grams(texts[a:b], k)
+            for a, b, texts in pieces(batch.column(1)):
+                block, starts, ends, low, high, grams = _grams(texts, k)
                 at = np.flatnonzero(table[(grams >> U64(48)).astype(np.int64)])
                 at = at[np.isin(grams[at], wanted)]
                 text = np.searchsorted(low, at, side="right") - 1

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.arrays import pieces, texts_of
+from tessera.llm.arrays import pieces
 from tessera.session import cut_lineage
 
 WINDOW = 2_048
@@ -63,9 +63,8 @@ def _tokenised(path: str, window: int, chunk: int, end_id: int):
 
         tokenizer = Tokenizer.from_file(path)
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            for a, b in pieces(batch, texts, 16 << 20):
-                ids, at = token_ids(tokenizer, [t.decode() for t in texts[a:b]], end_id)
+            for a, b, texts in pieces(batch.column(1), 16 << 20):
+                ids, at = token_ids(tokenizer, [t.decode() for t in texts], end_id)
                 raw = memoryview(ids.tobytes())
                 full, rest, parts = [], [], []
                 for s, e in zip(at.tolist(), at[1:].tolist()):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.arrays import U64, Block, mix, pieces, prefix, runs_hash, texts_of
+from tessera.llm.arrays import U64, Block, mix, pieces, prefix, runs_hash
 from tessera.session import cut_lineage
 
 SAMPLE_ROWS = 20_000
@@ -80,9 +80,8 @@ def statistics(block: Block) -> np.ndarray:
 
 def _describe(batches):
     for batch in batches:
-        texts = texts_of(batch.column(1))
-        for a, b in pieces(batch, texts):
-            stats = statistics(Block(texts[a:b])).astype(np.float32)
+        for a, b, texts in pieces(batch.column(1)):
+            stats = statistics(Block(texts)).astype(np.float32)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * FEATURES, pa.int32()), pa.array(stats.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), flat], ["row", "stats"])
 

@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.arrays import U64, Block, mix, pieces, prefix, rolling, runs_hash, sliding, split_by, texts_of
+from tessera.llm.arrays import U64, Block, pieces, prefix, rolling, runs_hash, sliding, split_by
 from tessera.session import cut_lineage
 
 BITMAP_BITS = 28
 HOT_STRINGS = 2_000
 HOT_KEYS = 1 << 16
-CHUNK_WINDOWS = 400_000
+CHUNK_WINDOWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -138,16 +138,15 @@ def _count_runs(plan: Windows, bits: int):
     def run(batches):
         held, size = ([], []), 0
         for batch in batches:
-            texts = texts_of(batch.column(0))
-            for a, b in pieces(batch, texts):
-                units = _Units(plan, Block(texts[a:b]))
+            for _, _, texts in pieces(batch.column(0)):
+                units = _Units(plan, Block(texts))
                 sums = units.sums()
                 grams, least = units.minima(sums)
                 runs, anchors, marks, _ = units.sample(sums, grams, least)
                 held[0].append(runs[anchors | marks])
                 held[1].append(least[_keys(units.valid, least)])
                 size += len(units.block.raw)
-                if size > 8 << 20:
+                if size > 4 << 20:
                     yield rows(held)
                     held, size = ([], []), 0
         yield rows(held)
@@ -216,10 +215,9 @@ def _ship(plan: Windows, bitmap, hot, buckets: int):
     def run(batches):
         seen, often = np.frombuffer(zlib.decompress(bitmap.value), np.uint8), hot.value
         for batch in batches:
-            texts = texts_of(batch.column(0))
             keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2)], axis=1)
-            for a, b in pieces(batch, texts):
-                units = _Units(plan, Block(texts[a:b]))
+            for a, b, texts in pieces(batch.column(0)):
+                units = _Units(plan, Block(texts))
                 if not units.valid.any():
                     continue
                 sums = units.sums()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.arrays import texts_of
+from tessera.llm.arrays import pieces
 from tessera.llm.repeats import Windows, cover_mask, repeated_spans, text_key
 
 
@@ -51,19 +51,20 @@ def _cut(width: int, names: list[str], schema: T.StructType, as_text: bool):
 
         target = to_arrow_schema(schema)
         for batch in batches:
-            texts = texts_of(batch.column(batch.schema.get_field_index("__text")))
-            spans = batch.column(batch.schema.get_field_index("__spans")).to_pylist()
-            kept, counts = [], []
-            for text, found in zip(texts, spans):
-                covered = cover_mask(len(text), found, width)
-                edge = np.diff(covered.astype(np.int8), prepend=0)
-                kept.append(np.frombuffer(text, np.uint8)[~covered].tobytes() if found else text)
-                counts.append((len(text), int(covered.sum()), int((edge == 1).sum())))
-            if as_text:
-                kept = [k.decode("utf-8", "ignore") for k in kept]
-            own = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            numbers = [pa.array([c[i] for c in counts], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*own, *numbers, pa.array(kept, pa.string() if as_text else pa.binary())], schema=target)
+            column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            for a, b, texts in pieces(column["__text"], 4 << 20):
+                kept, counts = [], []
+                for text, found in zip(texts, column["__spans"].slice(a, b - a).to_pylist()):
+                    covered = cover_mask(len(text), found, width)
+                    edge = np.diff(covered.astype(np.int8), prepend=0)
+                    kept.append(np.frombuffer(text, np.uint8)[~covered].tobytes() if found else text)
+                    counts.append((len(text), int(covered.sum()), int((edge == 1).sum())))
+                if as_text:
+                    kept = [k.decode("utf-8", "ignore") for k in kept]
+                own = [column[n].slice(a, b - a) for n in names]
+                numbers = [pa.array([c[i] for c in counts], pa.int64()) for i in range(3)]
+                left = pa.array(kept, pa.string() if as_text else pa.binary())
+                yield pa.RecordBatch.from_arrays([*own, *numbers, left], schema=target)
 
     return run
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
+import itertools
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.arrays import Block, pieces, texts_of
+from tessera.llm.arrays import pieces
 from tessera.llm.repeats import Windows, cover_mask, repeated_spans, text_key
 
 
@@ -18,21 +19,18 @@ def _cut(width: int, names: list[str], schema: T.StructType):
 
         target = to_arrow_schema(schema)
         for batch in batches:
-            texts = texts_of(batch.column(batch.schema.get_field_index("__text")))
-            spans = batch.column(batch.schema.get_field_index("__spans")).to_pylist()
-            kept, counts = [], []
-            for a, b in pieces(batch, texts):
-                block = Block(texts[a:b])
-                _, _, low, high = block.words()
-                for i in range(b - a):
-                    n = int(high[i] - low[i])
-                    covered = cover_mask(n, spans[a + i], width)
-                    words = texts[a + i].split()
-                    kept.append(b" ".join(w for w, gone in zip(words, covered.tolist()) if not gone).decode())
-                    counts.append((n, int(covered.sum())))
-            own = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            numbers = [pa.array([c[i] for c in counts], pa.int64()) for i in range(2)]
-            yield pa.RecordBatch.from_arrays([*own, *numbers, pa.array(kept, pa.string())], schema=target)
+            column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            for a, b, texts in pieces(column["__text"], 4 << 20):
+                kept, counts = [], []
+                for text, found in zip(texts, column["__spans"].slice(a, b - a).to_pylist()):
+                    words = text.split()
+                    covered = cover_mask(len(words), found, width)
+                    left = itertools.compress(words, (~covered).tolist()) if found else words
+                    kept.append(b" ".join(left).decode())
+                    counts.append((len(words), int(covered.sum())))
+                own = [column[n].slice(a, b - a) for n in names]
+                numbers = [pa.array([c[i] for c in counts], pa.int64()) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*own, *numbers, pa.array(kept, pa.string())], schema=target)
 
     return run
 
