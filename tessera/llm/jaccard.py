@@ -14,7 +14,7 @@ from tessera.llm.graph import components
 from tessera.llm.repeats import text_key
 from tessera.session import cut_lineage
 
-BLOCK_SHINGLES = 600_000
+BLOCK_SHINGLES = 150_000
 DOC_COST = 100
 
 
