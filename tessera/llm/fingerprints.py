@@ -135,7 +135,7 @@ def _walk(subsets):
                     size += len(held[2])
                 # a guest is the first document of the next bucket and stands last in its own
                 held = None if guest else (bucket, ident, text)
-                if size > 2 << 20:
+                if size > 1 << 19:
                     yield finish(rows, own)
                     rows, size = [], 0
         if rows:

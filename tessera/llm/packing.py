@@ -24,8 +24,8 @@ RESIDUAL_ROWS = 5_000
 def _encode(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of each word, and where each word's ids begin."""
     ids, sizes = [], []
-    for i in range(0, len(words), 20_000):
-        found = [e.ids for e in tokenizer.encode_batch_fast(words[i:i + 20_000], add_special_tokens=False)]
+    for i in range(0, len(words), 5_000):
+        found = [e.ids for e in tokenizer.encode_batch_fast(words[i:i + 5_000], add_special_tokens=False)]
         sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
         ids.append(np.fromiter((x for f in found for x in f), np.uint32, int(sizes[-1].sum())))
     if not words:
