@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def vectorised(fn: Callable[[pd.Series], pd.Series], returns: str) -> Callable[[Column], Column]:
@@ -50,43 +52,58 @@ def fold_groups(df: DataFrame, keys: Sequence[str], value: str, step: Callable,
     """Fold a group with an associative function (U-4).
 
     Each batch is folded where it is read; only the partial results, one per
-    key and slice, are shuffled and folded again. ``combine`` merges partials
-    (the step itself by default).
+    key and slice, are shuffled and folded again, and ``start`` enters once per
+    group at the end. So the result depends neither on batches nor on
+    partitions. ``combine`` merges partials of another kind than the values;
+    every partial then begins with ``start``, which must be neutral for it.
+    NULL keys form a group, NULL values are handed to ``step``.
     """
     merge = combine or step
     kind = T._parse_datatype_string(returns)
     keys = list(keys)
     schema = T.StructType([*[df.schema[k] for k in keys], T.StructField(name, kind)])
+    target = to_arrow_schema(schema)
 
-    def partial(frames):
-        for frame in frames:
+    def rows_of(batch):
+        return zip(zip(*[batch.column(i).to_pylist() for i in range(len(keys))]), batch.column(len(keys)).to_pylist())
+
+    def table(rows):
+        columns = list(zip(*[(*k, v) for k, v in rows])) or [()] * len(target)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
+
+    def partial(batches):
+        for batch in batches:
             out = {}
-            for *ident, v in zip(*[frame[k] for k in keys], frame[value]):
-                ident = tuple(ident)
-                out[ident] = step(out.get(ident, start), v)
-            yield pd.DataFrame([(*k, v) for k, v in out.items()], columns=[*keys, name])
-
-    def final(frames):
-        def rows():
-            for frame in frames:
-                yield from zip(*[frame[k] for k in keys], frame[name])
-        current, acc, done = None, None, []
-        for *ident, v in rows():
-            if ident != current:
-                if current is not None:
-                    done.append((*current, acc))
-                current, acc = ident, v
-            else:
-                acc = merge(acc, v)
-            if len(done) >= 10_000:
-                yield pd.DataFrame(done, columns=[*keys, name])
-                done = []
-        if current is not None:
-            done.append((*current, acc))
-        yield pd.DataFrame(done, columns=[*keys, name])
-
-    pieces = df.select(*keys, value).mapInPandas(partial, schema)
+            for ident, v in rows_of(batch):
+                if combine:
+                    out[ident] = step(out.get(ident, start), v)
+                else:
+                    out[ident] = step(out[ident], v) if ident in out else v
+            yield table(out.items())
+
+    def final(first):
+        def run(batches):
+            current, acc, done = None, None, []
+            close = (lambda x: x) if combine or not first else (lambda x: step(start, x))
+            for batch in batches:
+                for ident, v in rows_of(batch):
+                    if ident == current:
+                        acc = merge(acc, v)
+                    else:
+                        if current is not None:
+                            done.append((current, close(acc)))
+                        current, acc = ident, v
+                    if len(done) >= 10_000:
+                        yield table(done)
+                        done = []
+            if current is not None:
+                done.append((current, close(acc)))
+            yield table(done)
+        return run
+
+    pieces = df.select(*keys, value).mapInArrow(partial, schema)
     slice_keys = [*keys, "__slice"]
     sliced = pieces.withColumn("__slice", F.spark_partition_id() % slices)
-    merged = (sliced.repartition(*slice_keys).sortWithinPartitions(*keys).drop("__slice").mapInPandas(final, schema))
-    return merged.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(final, schema)
+    merged = (sliced.repartition(*slice_keys).sortWithinPartitions(*keys).drop("__slice")
+              .mapInArrow(final(False), schema))
+    return merged.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(final(True), schema)

@@ -120,8 +120,7 @@ def set_path(column: str, path: str, value: Column) -> Column:
     return F.col(column).withField(path, value)
 
 
-def transfer(accounts: DataFrame, moves: DataFrame, key: str, balance: str, max_rounds: int = 10_000
-             ) -> tuple[DataFrame, DataFrame]:
+def transfer(accounts: DataFrame, moves: DataFrame, key: str, balance: str) -> tuple[DataFrame, DataFrame]:
     """Paired transfers ``(seq, src, dst, qty)``, applied in ``seq`` order (M-10).
 
     A move is refused when its source holds less than ``qty`` or an account is
@@ -136,7 +135,7 @@ def transfer(accounts: DataFrame, moves: DataFrame, key: str, balance: str, max_
     decided = moves.join(live.select("seq"), "seq", "left_anti").withColumn("done", F.lit(False))
     pending = cut_lineage(live)
     state = accounts.select(key, balance)
-    for _ in range(max_rounds):
+    while True:  # every round decides the first undecided move at least
         touches = pending.select(F.col("src").alias("__k"), "seq").unionByName(
             pending.select(F.col("dst").alias("__k"), "seq"))
         first = touches.groupBy("__k").agg(F.min("seq").alias("__first"))
@@ -155,7 +154,6 @@ def transfer(accounts: DataFrame, moves: DataFrame, key: str, balance: str, max_
         if not pending.take(1):
             rest = [c for c in accounts.columns if c != balance]
             return accounts.select(*rest).join(state, key).select(*accounts.columns), decided
-    raise ValueError(f"transfers not settled in {max_rounds} rounds")
 
 
 def patch(target: DataFrame, changes: DataFrame, key: str, allowed: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -83,20 +83,26 @@ def guard_chain(df: DataFrame, checks: Sequence[tuple[int, Column]], name: str =
     return df.withColumn(name, code)
 
 
-# Code and message per class of failure.
-ERROR_CLASSES = {"not_found": ("NOT_FOUND", 404), "validation": ("VALIDATION_ERROR", 422),
-                 "conflict": ("CONFLICT", 409), "unexpected": ("INTERNAL_ERROR", 500)}
+# Code and status of each class of failure.
+ERROR_CLASSES = {"not_found": 404, "conflict": 409, "validation_error": 422, "external_service_error": 502,
+                 "internal_error": 500}
 
 
-def error_envelope(kind: Column, message: Column) -> Column:
-    """``status, code, message`` of a failure; an unknown class is an internal error (E-5)."""
+def error_envelope(kind: Column, message: Column, details: Column | None = None) -> Column:
+    """``status, code, http, message, details`` of a failure; an unknown class is an internal error (E-5).
+
+    ``details`` is a map of texts, empty when none is given.
+    """
+    nothing = F.create_map().cast("map<string,string>")
+    more = nothing if details is None else F.coalesce(details, nothing)
+
     def build(key):
-        code, http = ERROR_CLASSES[key]
-        return F.struct(F.lit("error").alias("status"), F.lit(code).alias("code"), F.lit(http).alias("http"),
-                        message.alias("message"))
-    out = build("unexpected")
+        return F.struct(F.lit("error").alias("status"), F.lit(key).alias("code"),
+                        F.lit(ERROR_CLASSES[key]).alias("http"), message.alias("message"), more.alias("details"))
+
+    out = build("internal_error")
     for key in ERROR_CLASSES:
-        if key != "unexpected":
+        if key != "internal_error":
             out = F.when(kind == key, build(key)).otherwise(out)
     return out
 
@@ -129,16 +135,17 @@ def retry(fn: Callable, attempts: int = 3, delay: float = 0.0, give_up: str = "r
     """Up to ``attempts`` calls with a pause; then the last error, or None (E-10)."""
 
     def wrapped(*args):
-        for i in range(attempts):
+        failure = None
+        for pause in [0.0, *[delay] * (attempts - 1)]:
+            if pause:
+                time.sleep(random.uniform(pause, 1.1 * pause))
             try:
                 return fn(*args)
-            except Exception:
-                if i == attempts - 1:
-                    if give_up == "raise":
-                        raise
-                    return None
-                if delay:
-                    time.sleep(delay * (1 + random.random() * 0.1))
+            except Exception as error:  # noqa: BLE001
+                failure = error
+        if give_up == "raise" and failure is not None:
+            raise failure
+        return None
 
     return wrapped
 

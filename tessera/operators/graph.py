@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,10 +31,10 @@ def _as_rows(spark, path: Sequence | None, kind: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(path or [])), f"pos bigint, node {kind}")
 
 
-def shortest_path(edges: DataFrame, start, end, max_hops: int = 10_000) -> DataFrame:
+def shortest_path(edges: DataFrame, start, end) -> DataFrame:
     """Path with the fewest hops, the first found by adjacency order (G-2).
 
-    One join per hop. Each node keeps only its first discovery: among paths of
+    One join per hop until the end is met or nothing new is. Each node keeps only its first discovery: among paths of
     one length a queue meets them in the order of their edge ordinals. The
     result is ``(pos, node)``; no path gives no rows.
     """
@@ -43,7 +44,7 @@ def shortest_path(edges: DataFrame, start, end, max_hops: int = 10_000) -> DataF
     edges = cut_lineage(edges.select("src", "dst", "ordinal"))
     front = spark.createDataFrame([(start, [start], [])], f"node {kind}, path array<{kind}>, rank array<bigint>")
     seen = front.select("node")
-    for hop in range(1, max_hops + 1):
+    for hop in count(1):
         steps = (front.join(edges, F.col("node") == F.col("src"))
                  .select(F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"),
                          F.array_append("rank", F.col("ordinal").cast("bigint")).alias("rank")))
@@ -66,7 +67,7 @@ def here_frame(edges: DataFrame, node) -> DataFrame:
     return edges.sparkSession.createDataFrame([(node,)], f"node {edges.schema['src'].dataType.simpleString()}")
 
 
-def _first_way_on(edges: DataFrame, path: list, end, max_hops: int = 10_000):
+def _first_way_on(edges: DataFrame, path: list, end):
     """Neighbour of the last node that depth-first search would leave through."""
     here = path[-1]
     choices = [row[0] for row in edges.filter((F.col("src") == here) & ~F.col("dst").isin(path))
@@ -78,7 +79,7 @@ def _first_way_on(edges: DataFrame, path: list, end, max_hops: int = 10_000):
     inner = edges.filter(~F.col("src").isin(path) & ~F.col("dst").isin(path))
     options = edges.filter((F.col("src") == here) & ~F.col("dst").isin(path))
     reach = front = here_frame(edges, end)
-    for hop in range(1, max_hops + 1):
+    for hop in count(1):
         step = (inner.join(front.select(F.col("node").alias("dst")), "dst", "left_semi")
                 .select(F.col("src").alias("node")).distinct())
         front = cut_lineage(step.join(reach, "node", "left_anti"))

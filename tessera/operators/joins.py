@@ -22,11 +22,14 @@ def pair_with_small(df: DataFrame, small: DataFrame, limit: int = SMALL_ROWS) ->
     """Each row with each row of a small table (J-3).
 
     The result has ``limit`` times the rows of ``df`` at most; a larger second
-    table is refused, since all pairs of two large tables is not a usable result.
+    table is refused, since all pairs of two large tables is not a usable result;
+    callers who want more raise ``limit``. An empty second table gives no rows.
     """
     found = small_rows(small, limit)
     if found is None:
         raise ValueError(f"the second table of a cross pairing may hold {limit} rows at most")
+    if not found:
+        return df.limit(0).select(*df.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema])
     types = {f.name: f.dataType for f in small.schema.fields}
     values = F.array(*[F.struct(*[F.lit(row[n]).cast(types[n]).alias(n) for n in types]) for row in found])
     return (df.withColumn("__pair", F.explode(values))
@@ -67,11 +70,14 @@ def tier_lookup(df: DataFrame, volume: str, tiers: DataFrame, threshold: str, pr
                 name: str = "tier_price", limit: int = SMALL_ROWS) -> DataFrame:
     """Price of the highest threshold at or below the volume (J-11).
 
-    Below the lowest threshold the lowest tier applies. A tier table of
+    Below the lowest threshold the lowest tier applies. Of tiers with one
+    threshold that with the greatest price counts; a NULL threshold counts for
+    nothing. A tier table of
     checked size becomes a literal searched inside each row; a larger one is
     merged with the rows in volume order and carried forward.
     """
     ordered = tiers.select(F.col(threshold).cast("double").alias("t"), F.col(price).alias("p"))
+    ordered = ordered.filter("t IS NOT NULL").groupBy("t").agg(F.max("p").alias("p"))
     steps = small_rows(ordered, limit)
     if steps:
         steps = sorted((row["t"], row["p"]) for row in steps)

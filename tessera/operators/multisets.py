@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -72,7 +74,7 @@ def first_layer(layers: Sequence[DataFrame]) -> DataFrame:
     return stacked.groupBy("key").agg(F.min("__at").alias("__at")).select("key", "__at.layer", "__at.value")
 
 
-def descendants(tree: DataFrame, node: str, parent: str, root, max_rounds: int = 10_000) -> DataFrame:
+def descendants(tree: DataFrame, node: str, parent: str, root) -> DataFrame:
     """All rows below one root with their depth (Q-2).
 
     One join per level; each level is written to the shared folder, and a node
@@ -81,7 +83,7 @@ def descendants(tree: DataFrame, node: str, parent: str, root, max_rounds: int =
     edges = tree.select(F.col(node).alias("node"), F.col(parent).alias("parent"))
     level = cut_lineage(edges.filter(F.col("node") == root).select("node", F.lit(0).alias("depth")))
     found = level
-    for depth in range(1, max_rounds + 1):
+    for depth in count(1):
         step = (edges.join(level.select(F.col("node").alias("parent")), "parent", "left_semi")
                 .select("node", F.lit(depth).alias("depth")).dropDuplicates(["node"]))
         level = cut_lineage(step.join(found, "node", "left_anti"))
@@ -90,4 +92,3 @@ def descendants(tree: DataFrame, node: str, parent: str, root, max_rounds: int =
         found = found.unionByName(level)
         if depth % 8 == 0:
             found = cut_lineage(found)
-    raise ValueError(f"the hierarchy is deeper than {max_rounds} levels")

@@ -202,9 +202,12 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int
                 name: str = "rn") -> DataFrame:
     """First ``k`` rows of each key.
 
-    Spark limits every map task to ``k`` rows per key before the shuffle
-    (window group limit), so a hot key sends few rows.
+    Up to Spark's threshold for it (1,000 by default) every map task is limited
+    to ``k`` rows per key before the shuffle, so a hot key sends few rows. For
+    larger ``k`` the rows are numbered, which splits hot keys between tasks.
     """
+    if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        return number_rows(df, keys, order, name).filter(F.col(name) <= k)
     w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
     return df.withColumn(name, F.row_number().over(w).cast("bigint")).filter(F.col(name) <= k)
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import number_rows, sort_columns
+from tessera.operators.ordering import number_rows, sort_columns, top_per_key
 
 
 def page(df: DataFrame, order: Sequence[str], number: int, size: int, max_size: int | None = None) -> DataFrame:
@@ -65,9 +65,6 @@ def reversed_rows(df: DataFrame, order: Sequence[str], name: str = "pos", hot_ro
 
 def arg_max(df: DataFrame, keys: Sequence[str], by: str, tie: str) -> DataFrame:
     """Row with the largest ``by`` per key, the smallest ``tie`` among equals (O-7)."""
-    rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max(by).alias("__best"))
-    top = df.join(best, list(keys)).filter(F.col(by) == F.col("__best")) if keys else (
-        df.join(F.broadcast(best), F.col(by) == F.col("__best")))
-    return (top.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(tie)).alias("__row"))
-            .select(*keys, "__row.*"))
+    known = df.filter(F.col(by).isNotNull())
+    return top_per_key(known, list(keys), ["-" + by, tie], 1, "__rn").drop("__rn").select(
+        *keys, *[c for c in df.columns if c not in keys])

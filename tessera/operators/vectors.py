@@ -60,8 +60,9 @@ def magnitude(v: Column) -> Column:
 
 def normalise(v: Column) -> Column:
     """Vector of length one; a zero vector raises (V-2)."""
+    lengths = F.array_repeat(magnitude(v), F.size(v))  # outside the lambda, so it is computed once a row
     return F.when(magnitude(v) == 0, F.raise_error(F.lit("a zero vector has no direction"))).otherwise(
-        F.transform(as_double(v), lambda x: x / magnitude(v)))
+        F.zip_with(as_double(v), lengths, lambda x, n: x / n))
 
 
 def shorter(a: Column, b: Column) -> Column:
@@ -120,17 +121,19 @@ def nearest(df: DataFrame, query: Sequence[float], key: str, vector: str, k: int
 
 def nearest_each(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int, metric: str = "cosine"
                  ) -> DataFrame:
-    """k nearest rows for each row ``(query_id, query)`` of a small table (V-6).
+    """k nearest rows for each row ``(query_id, query)`` of a table of any size (V-6).
 
-    At most ``QUERY_ROWS`` queries go out as one literal; every task keeps ``k``
-    rows per query before the shuffle. A larger set is asked in several calls.
+    Queries are packed into blocks of about ``QUERY_ROWS``; every task keeps
+    ``k`` rows per query before the shuffle. No queries give no rows.
     """
-    found = queries.select("query_id", as_double(F.col("query")).alias("query")).take(QUERY_ROWS + 1)
-    if len(found) > QUERY_ROWS:
-        raise ValueError(f"ask at most {QUERY_ROWS} queries at a time")
-    asked = F.array(*[F.struct(F.lit(q["query_id"]).alias("id"), literal_vector(q["query"]).alias("v"),
-                               F.lit(sum(x * x for x in q["query"]) ** 0.5).alias("norm")) for q in found])
-    rows = df.select(key, vector, magnitude(F.col(vector)).alias("__norm"))
+    ready = queries.select("query_id", as_double(F.col("query")).alias("query"))
+    blocks = max(1, -(-ready.count() // QUERY_ROWS))
+    packed = (ready.select(F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("__block"),
+                           F.struct(F.col("query_id").alias("id"), F.col("query").alias("v"),
+                                    magnitude(F.col("query")).alias("norm")).alias("q"))
+              .groupBy("__block").agg(F.collect_list("q").alias("__asked")))
+    rows = df.select(key, vector, magnitude(F.col(vector)).alias("__norm")).join(packed, F.lit(True))
+    asked = F.col("__asked")
     rows = rows.select(key, vector, "__norm", F.explode(asked).alias("q"))
     if metric == "cosine":
         norms = F.col("__norm") * F.col("q.norm")

@@ -74,12 +74,17 @@ def _(t):
 
 
 @query("error_envelope", "E-5", """
-SELECT event_id, CASE event_type WHEN 'view' THEN 'NOT_FOUND' WHEN 'click' THEN 'VALIDATION_ERROR' ELSE 'INTERNAL_ERROR' END AS code,
- CASE event_type WHEN 'view' THEN 404 WHEN 'click' THEN 422 ELSE 500 END AS http, props AS message FROM events""")
+SELECT event_id, CASE event_type WHEN 'view' THEN 'not_found' WHEN 'click' THEN 'validation_error'
+  WHEN 'purchase' THEN 'external_service_error' ELSE 'internal_error' END AS code,
+ CASE event_type WHEN 'view' THEN 404 WHEN 'click' THEN 422 WHEN 'purchase' THEN 502 ELSE 500 END AS http, props AS message,
+ CASE WHEN event_type = 'purchase' THEN 'shop' END AS service FROM events""")
 def _(t):
-    kind = F.when(F.col("event_type") == "view", "not_found").when(F.col("event_type") == "click", "validation").otherwise(F.col("event_type"))
-    return (t.events.select("event_id", etl.error_envelope(kind, F.col("props")).alias("e"))
-            .select("event_id", "e.code", "e.http", "e.message"))
+    bought = F.col("event_type") == "purchase"
+    kind = (F.when(F.col("event_type") == "view", "not_found").when(F.col("event_type") == "click", "validation_error")
+            .when(bought, "external_service_error").otherwise(F.col("event_type")))
+    details = F.when(bought, F.create_map(F.lit("service"), F.lit("shop")))
+    return (t.events.select("event_id", etl.error_envelope(kind, F.col("props"), details).alias("e"))
+            .select("event_id", "e.code", "e.http", "e.message", F.try_element_at("e.details", F.lit("service")).alias("service")))
 
 
 @query("filter_batches", "E-6", "SELECT event_id, value FROM events WHERE value < 4")
@@ -174,6 +179,15 @@ def _(t):
     return ud.fold_groups(t.orders, ["o_custkey"], "o_orderkey", lambda a, b: int(a) ^ int(b), 0, "bigint")
 
 
+@query("aggregate_from_start", "U-4", """
+SELECT key, 100 + sum(l_quantity)::BIGINT AS folded
+FROM (SELECT CASE WHEN l_linenumber < 7 THEN 9007199254740993 + l_linenumber END AS key, l_quantity FROM lineitem) GROUP BY 1""")
+def _(t):
+    key = F.when(F.col("l_linenumber") < 7, F.lit(9007199254740993) + F.col("l_linenumber")).alias("key")
+    return ud.fold_groups(t.lineitem.select(key, F.col("l_quantity").cast("bigint").alias("n")), ["key"], "n",
+                          lambda a, b: a + b, 100, "bigint")
+
+
 @query("aggregate_array_function", "U-4", """
 SELECT p_partkey, CAST(list_sum([length(w) FOR w IN string_split(p_name, ' ')]) AS BIGINT) AS letters FROM part""")
 def _(t):

@@ -20,24 +20,23 @@ def _big(t):
     return t.orders.filter(F.col("o_totalprice") > 480000)
 
 
-@query("join_left", "J-2", f"SELECT c_custkey, o_orderkey FROM customer LEFT JOIN {_BIG} ON c_custkey = o_custkey")
+@query("join_left", "J-2", "SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey")
 def _(t):
-    return (t.customer.join(_big(t), F.col("c_custkey") == F.col("o_custkey"), "left")
+    return (t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left")
             .select("c_custkey", "o_orderkey"))
 
 
-@query("join_right", "J-2", f"SELECT c_custkey, o_orderkey FROM {_BIG} RIGHT JOIN customer ON c_custkey = o_custkey")
+@query("join_right", "J-2", "SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON c_custkey = o_custkey")
 def _(t):
-    return (_big(t).join(t.customer, F.col("c_custkey") == F.col("o_custkey"), "right")
+    return (t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey"), "right")
             .select("c_custkey", "o_orderkey"))
 
 
-@query("join_full", "J-2", f"""
-SELECT c_custkey, o_orderkey FROM (SELECT * FROM customer WHERE c_acctbal > 0) c
-FULL JOIN {_BIG} o ON c_custkey = o_custkey""")
+@query("join_full", "J-2", """
+SELECT c_custkey, event_id FROM customer FULL JOIN events ON c_custkey = user_id * 3""")
 def _(t):
-    return (t.customer.filter("c_acctbal > 0").join(_big(t), F.col("c_custkey") == F.col("o_custkey"), "full")
-            .select("c_custkey", "o_orderkey"))
+    return (t.customer.join(t.events, F.col("c_custkey") == F.col("user_id") * 3, "full")
+            .select("c_custkey", "event_id"))
 
 
 @query("pair_with_small", "J-3", "SELECT c_custkey, r_name FROM customer, region")
@@ -48,12 +47,11 @@ def _(t):
 _NEWEST = """
 SELECT c_custkey, o_orderkey, o_orderdate FROM customer {how} JOIN
  (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) rn
-  FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000) WHERE rn = 1) ON c_custkey = o_custkey"""
+  FROM orders) WHERE rn = 1) ON c_custkey = o_custkey"""
 
 
 def _newest(t, keep):
-    rows = t.orders.filter("o_orderstatus = 'F' AND o_totalprice > 400000").select(
-        "o_custkey", "o_orderkey", "o_orderdate")
+    rows = t.orders.select("o_custkey", "o_orderkey", "o_orderdate")
     return jn.newest_child(t.customer.select("c_custkey"), rows, ("c_custkey", "o_custkey"),
                            ["-o_orderdate", "-o_orderkey"], keep)
 
@@ -74,13 +72,11 @@ def _(t):
             .select("c_custkey", "c_name"))
 
 
-@query("semi_join_exists", "J-6", f"""
-SELECT c_custkey, c_name FROM customer c WHERE EXISTS (SELECT 1 FROM {_BIG} o WHERE o.o_custkey = c.c_custkey)""")
+@query("semi_join_exists", "J-6", """
+SELECT c_custkey, c_name FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""")
 def _(t):
-    _big(t).createOrReplaceTempView("tessera_big_orders")
-    t.customer.createOrReplaceTempView("tessera_customer")
-    return t.spark.sql("""SELECT c_custkey, c_name FROM tessera_customer c
-        WHERE EXISTS (SELECT 1 FROM tessera_big_orders o WHERE o.o_custkey = c.c_custkey)""")
+    return t.spark.sql("""SELECT c_custkey, c_name FROM {customer} c
+        WHERE EXISTS (SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey)""", customer=t.customer, orders=t.orders)
 
 
 @query("order_with_customer", "J-7", """
@@ -92,13 +88,13 @@ def _(t):
             .select("o_orderkey", "c_name", "n_name"))
 
 
-@query("customer_with_orders", "J-8", f"""
+@query("customer_with_orders", "J-8", """
 WITH n AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS p
-           FROM orders WHERE o_totalprice > 100000),
+           FROM orders),
 l AS (SELECT o_custkey, p // 8 AS part, string_agg(o_orderkey, ',' ORDER BY p) AS orders FROM n GROUP BY 1, 2)
 SELECT c_custkey, c_name, coalesce(part, 0) AS part, orders FROM customer LEFT JOIN l ON c_custkey = o_custkey""")
 def _(t):
-    rows = t.orders.filter("o_totalprice > 100000").select("o_custkey", "o_orderkey")
+    rows = t.orders.select("o_custkey", "o_orderkey")
     joined = jn.attach_children(t.customer.select("c_custkey", "c_name"), rows, ("c_custkey", "o_custkey"),
                                 "o_orderkey", ["o_orderkey"], part_rows=8)
     return joined.select("c_custkey", "c_name", "part", text("values").alias("orders"))

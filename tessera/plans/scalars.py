@@ -187,9 +187,10 @@ SELECT p_partkey, array_to_string([x * x FOR x IN range(CAST(p_size AS BIGINT))
  CAST(((p_size + 1) * 2) * ((p_size + 1) * 2) AS BIGINT) AS composed FROM part""")
 def _(t):
     size = F.col("p_size").cast("bigint")
-    evens = ar.map_where(F.sequence(F.lit(0).cast("bigint"), size - 1), lambda x: x % 2 == 0, lambda x: x * x)
+    upto = F.when(size > 0, F.sequence(F.lit(0).cast("bigint"), F.greatest(size - 1, F.lit(0)))).otherwise(F.array())
+    evens = ar.map_where(upto, lambda x: x % 2 == 0, lambda x: x * x)
     squared = ar.compose(lambda x: x * x, lambda x: x * 2, lambda x: x + 1)
-    return t.part.filter("p_size > 0").select("p_partkey", text(evens).alias("squares"), squared(size).alias("composed"))
+    return t.part.select("p_partkey", text(evens).alias("squares"), squared(size).alias("composed"))
 
 
 @query("type_dispatch", "F-20", """
