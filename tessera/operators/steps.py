@@ -42,6 +42,17 @@ def undo_redo(max_history: int = 10) -> Callable:
     return step
 
 
+def _past_nulls(step: Callable, outcomes: int = 1) -> Callable:
+    """Rows without a time pass the rule with NULL outcomes and leave its state as it is."""
+
+    def run(state, t, *rest):
+        if t is None or t != t:
+            return state, (None,) * outcomes
+        return step(state, int(t), *rest)
+
+    return run
+
+
 def sliding_limiter(max_calls: int, window: int) -> Callable:
     """At most ``max_calls`` allowed calls per window; refused calls do not count (ST-3).
 
@@ -49,26 +60,24 @@ def sliding_limiter(max_calls: int, window: int) -> Callable:
     """
 
     def step(state, t):
-        t = int(t)
         calls = [c for c in (state or []) if t - c <= window]
         if len(calls) >= max_calls:
             return calls, (False,)
         return calls + [t], (True,)
 
-    return step
+    return _past_nulls(step)
 
 
 def bucket_discrete(capacity: int, rate: float, need: int = 1) -> Callable:
     """Bucket that starts empty and refills whole tokens; fractions are lost (ST-4)."""
 
     def step(state, t):
-        t = int(t)
         tokens, last = (0, t) if state is None else state
         tokens = min(capacity, tokens + int((t - last) / SECOND * rate))
         taken = tokens >= need
         return [tokens - need if taken else tokens, t], (taken,)
 
-    return step
+    return _past_nulls(step)
 
 
 def bucket_continuous(capacity: int, rate: float, need: int = 1) -> Callable:
@@ -78,7 +87,6 @@ def bucket_continuous(capacity: int, rate: float, need: int = 1) -> Callable:
     """
 
     def step(state, t):
-        t = int(t)
         tokens, last = (float(capacity), t) if state is None else state
         now = max(t, last)
         tokens = min(float(capacity), tokens + (now - last) / SECOND * rate)
@@ -87,38 +95,36 @@ def bucket_continuous(capacity: int, rate: float, need: int = 1) -> Callable:
             tokens = float(need)
         return [tokens - need, now], ((now - t) / SECOND,)
 
-    return step
+    return _past_nulls(step)
 
 
 def replay_guard(ttl: int = 86_400 * SECOND) -> Callable:
     """First response kept for ``ttl``; repeats get it flagged, later ones a new one (ST-6)."""
 
     def step(state, t, body):
-        t = int(t)
         if state is not None and t - state[0] < ttl:
             return state, (state[1], True)
         return [t, body], (body, False)
 
-    return step
+    return _past_nulls(step, 2)
 
 
 def ttl_cache(ttl: int) -> Callable:
     """Hit while the kept result is younger than ``ttl``, else recomputed (E-13)."""
 
     def step(state, t):
-        t = int(t)
         if state is not None and t - state < ttl:
             return state, (True,)
         return t, (False,)
 
-    return step
+    return _past_nulls(step)
 
 
 def rolling(n: int) -> Callable:
-    """Counts among the last ``n`` items (ST-2), as ``item:count`` in item order."""
+    """Counts among the last ``n`` items (ST-2), as ``item:count`` in item order; NULL takes a place, but is not counted."""
 
     def step(state, item):
-        last = ((state or []) + [item])[-n:]
-        return last, (",".join(f"{i}:{last.count(i)}" for i in sorted(set(last))),)
+        last = [*(state or []), None if item != item else item][-n:]
+        return last, (",".join(f"{i}:{last.count(i)}" for i in sorted(set(last) - {None})),)
 
     return step

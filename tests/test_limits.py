@@ -68,3 +68,21 @@ def test_normalise_long_vectors(spark):
     df = spark.range(200).select(F.transform(F.sequence(F.lit(1), F.lit(768)), lambda x: (x + F.col("id")).cast("double")).alias("v"))
     lengths = df.select(vectors.magnitude(vectors.normalise(F.col("v"))).alias("n")).agg(F.min("n"), F.max("n")).head()
     assert lengths[0] == pytest.approx(1) and lengths[1] == pytest.approx(1)
+
+
+def test_rows_without_a_time_or_item():
+    from tessera.operators import steps
+
+    nan = float("nan")
+    limiter = steps.sliding_limiter(1, 10)
+    state, out = limiter(None, 5)
+    assert out == (True,) and limiter(state, None) == (state, (None,)) and limiter(state, nan) == (state, (None,))
+    assert limiter(state, 6)[1] == (False,)
+    assert steps.replay_guard()(None, None, "body") == (None, (None, None))
+    assert steps.bucket_discrete(2, 1.0)(None, nan) == (None, (None,))
+    assert steps.bucket_continuous(2, 1.0)(None, None) == (None, (None,))
+    assert steps.ttl_cache(5)(3, None) == (3, (None,))
+    state = None
+    for item, want in (("b", "b:1"), (None, "b:1"), ("a", "a:1,b:1"), ("a", "a:2")):
+        state, out = steps.rolling(3)(state, item)
+        assert out == (want,)
