@@ -88,14 +88,14 @@ class TokenTree:
     def edit(self, start: int, end: int, put: str) -> None:
         """Replace the characters from ``start`` to ``end`` (excluded) by ``put``."""
         text = self.text[:start] + put + self.text[end:]
-        # a match may look one character ahead, so a part that ends before start - 1 stands
+        # a match may look at two characters after its end, so a part that ends before start - 1 stands
         first, at = self._leaf(max(0, start - 2))
         while first and at >= max(1, start - 1):
             first -= 1
             at -= self.chars[self.width + first]
         sizes, tokens = self.leaves[first]
         kept, place = 0, at
-        while kept < len(sizes) and place + sizes[kept] < start:
+        while kept < len(sizes) and place + sizes[kept] < start - 1:
             place += sizes[kept]
             kept += 1
         # old boundaries from here on, moved by the edit
