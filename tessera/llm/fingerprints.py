@@ -48,7 +48,8 @@ class Subsets:
         """For each text one hash for each subset: of its sorted distinct terms there, 0 for none.
 
         Subset (level, draw) holds the terms whose hash under the draw has ``level`` leading zero bits.
-        The sum of hashes stands for the sorted list, since it is the same for the same set.
+        The sum of hashes stands for the sorted list, since it is the same for the same set. A text without
+        words of the lexicon has the hash of its bytes everywhere, so it is like its equals and no other text.
         """
         out = np.zeros((len(texts), self.levels, self.each), np.uint64)
         block = Block(texts)
@@ -59,8 +60,9 @@ class Subsets:
             owner, terms = owner[known], terms[known]
         else:
             owner, terms = owner[:0], terms[:0]
-        if not len(terms):
-            return out.reshape(len(texts), -1)
+        bare = np.bincount(owner, minlength=len(texts)) == 0
+        if bare.any():
+            out[bare] = (runs_hash(block.byte_sums(), block.start, block.end)[bare] | U64(1))[:, None, None]
         for d, seed in enumerate(self.seeds):
             drawn, who = terms * seed, owner
             for level in range(self.levels):
@@ -160,8 +162,8 @@ def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", idf
 
     Documents are dealt by ranges of id to buckets of about ``bucket_bytes`` of text; the first document of a
     bucket is also sent to the bucket before, so each bucket knows all its successors and the texts are
-    shuffled once. Null texts count as empty; texts without words of the lexicon have an all-zero fingerprint
-    and likeness 0. Equal ids follow each other by text; null ids come first; a single document is its own
+    shuffled once. Null texts count as empty; texts without words of the lexicon, also empty ones, are like equal
+    texts (1) and no others (0). Equal ids follow each other by text; null ids come first; a single document is its own
     successor; an empty table gives an empty table. Other columns are not read.
     """
     spark = docs.sparkSession

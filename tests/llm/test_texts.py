@@ -191,6 +191,16 @@ def test_fingerprints(docs):
         assert sum(r.near_edited > r.near_next for r in far) > 15 and max(r.near_next for r in far) < 0.2
 
 
+def test_fingerprints_without_words_of_the_lexicon():
+    """Equal texts are like each other, other texts are not."""
+    from tessera.llm.fingerprints import Subsets
+
+    own = Subsets(np.zeros(0, np.uint64))
+    a, b, c, e = own.signatures([b"one two", b"one two", b"one three", b""])
+    like = own.likeness(np.stack([a, a, e, e]), np.stack([b, c, e, a]))
+    assert like.tolist() == [1, 0, 1, 0]
+
+
 def test_lexicon_band(spark):
     from tessera.llm.arrays import Block
     from tessera.llm.fingerprints import document_terms, lexicon_of
@@ -235,6 +245,21 @@ def test_token_tree_edits():
         assert tree.text == want and tree.total == len(tokens.encoding.encode_ordinary(want))
 
 
+def test_small_edits_at_every_place():
+    """Edits beside white space and apostrophes, where a split looks furthest ahead."""
+    from tessera.llm.tokens import Counter as Tokens, TokenTree
+
+    tokens = Tokens(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    for text in ("le  e", "ee   l", "it'l be", "a\n\n b, '", "'v 12  ", "x"):
+        for a in range(len(text) + 1):
+            for b in range(a, len(text) + 1):
+                for put in ("", " ", "l", "'", "e1", "\n "):
+                    tree = TokenTree(text, tokens)
+                    tree.edit(a, b, put)
+                    want = text[:a] + put + text[b:]
+                    assert tree.total == len(tokens.encoding.encode_ordinary(want)), (text, a, b, put)
+
+
 def test_license_scan(docs):
     from tessera.llm.licenses import PHRASES, scan_licenses
 
