@@ -19,35 +19,54 @@ WINDOW = 2_048
 CHUNK = 16
 SHARD_ROWS = 20_000
 RESIDUAL_ROWS = 5_000
-
-
-def _encode(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of each word, and where each word's ids begin."""
-    ids, sizes = [], []
-    for i in range(0, len(words), 5_000):
-        found = [e.ids for e in tokenizer.encode_batch_fast(words[i:i + 5_000], add_special_tokens=False)]
-        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-        ids.append(np.fromiter((x for f in found for x in f), np.uint32, int(sizes[-1].sum())))
-    if not words:
-        return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-    return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-
-
-def token_ids(tokenizer, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+PIECE_BYTES = 1 << 20
+WORDS = 200_000
+
+
+class Words:
+    """Ids of the words met so far, each encoded once; all are forgotten when they have become too many."""
+
+    def __init__(self, tokenizer, most_words: int = WORDS, most_ids: int = 8 * WORDS):
+        self.tokenizer, self.most_words, self.most_ids = tokenizer, most_words, most_ids
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """The place of each of some distinct words: its ids are ``ids[begin[place]:begin[place + 1]]``."""
+        if len(self.place) + len(words) > self.most_words or len(self.ids) > self.most_ids:
+            self._forget()
+        fresh = [w for w in words if w not in self.place]
+        ids, sizes = [self.ids], []
+        for i in range(0, len(fresh), 5_000):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh[i:i + 5_000], add_special_tokens=False)]
+            sizes += map(len, found)
+            ids.append(np.fromiter((x for f in found for x in f), np.uint32, sum(map(len, found))))
+        if fresh:
+            self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh))))
+            self.ids = np.concatenate(ids)
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.array(sizes, np.int64))])
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+
+def token_ids(known: Words, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each closed by ``end_id``, and the offsets of the texts.
 
-    The tokenizer drops white space and joins nothing across it, so each distinct word of the texts is
-    encoded once and its ids are put wherever it stands.
+    The tokenizer drops white space and joins nothing across it, so each distinct word is encoded once and
+    its ids are put wherever it stands.
     """
     lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
     coded = lists.flatten().dictionary_encode()
-    index = coded.indices.to_numpy(zero_copy_only=False)
-    ids, begin = _encode(tokenizer, coded.dictionary.to_pylist())
-    sizes = np.diff(begin)
-    per_word = sizes[index] if len(index) else np.zeros(0, np.int64)
-    ends = np.concatenate([[0], np.cumsum(per_word)])[lists.offsets.to_numpy()]
-    spots = np.repeat(begin[:-1][index] - np.cumsum(per_word) + per_word, per_word) + np.arange(per_word.sum())
-    out = np.insert(ids[spots], ends[1:], end_id) if len(texts) else ids[:0]
+    place = known.places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)] \
+        if len(coded) else np.zeros(0, np.int64)
+    first = known.begin[place]
+    per_word = known.begin[place + 1] - first
+    upto = np.concatenate([[0], np.cumsum(per_word)])
+    ends = upto[lists.offsets.to_numpy()]
+    spots = np.repeat(first - upto[:-1], per_word) + np.arange(upto[-1])
+    out = np.insert(known.ids[spots], ends[1:], end_id) if len(texts) else known.ids[:0]
     return out.astype("<u4"), ends + np.arange(len(texts) + 1)
 
 
@@ -61,10 +80,10 @@ def _tokenised(path: str, window: int, chunk: int, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        known = Words(Tokenizer.from_file(path))
         for batch in batches:
-            for a, b, texts in pieces(batch.column(1), 16 << 20):
-                ids, at = token_ids(tokenizer, [t.decode() for t in texts], end_id)
+            for a, b, texts in pieces(batch.column(1), PIECE_BYTES):
+                ids, at = token_ids(known, [t.decode() for t in texts], end_id)
                 raw = memoryview(ids.tobytes())
                 full, rest, parts = [], [], []
                 for s, e in zip(at.tolist(), at[1:].tolist()):
