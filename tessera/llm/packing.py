@@ -19,8 +19,8 @@ WINDOW = 2_048
 CHUNK = 16
 SHARD_ROWS = 20_000
 RESIDUAL_ROWS = 5_000
-PIECE_BYTES = 1 << 20
-WORDS = 200_000
+PIECE_BYTES = 4 << 20
+WORDS = 500_000
 
 
 class Words:
@@ -36,7 +36,7 @@ class Words:
 
     def places(self, words: list[str]) -> np.ndarray:
         """The place of each of some distinct words: its ids are ``ids[begin[place]:begin[place + 1]]``."""
-        if len(self.place) + len(words) > self.most_words or len(self.ids) > self.most_ids:
+        if len(self.place) > self.most_words or len(self.ids) > self.most_ids:
             self._forget()
         fresh = [w for w in words if w not in self.place]
         ids, sizes = [self.ids], []
