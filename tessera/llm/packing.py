@@ -21,53 +21,85 @@ SHARD_ROWS = 20_000
 RESIDUAL_ROWS = 5_000
 PIECE_BYTES = 4 << 20
 WORDS = 500_000
+SIGN = "0"  # a word that stands behind each of many words encoded in one text
 
 
 class Words:
-    """Ids of the words met so far, each encoded once; all are forgotten when they have become too many."""
+    """Ids of the words met so far, each encoded once; all are forgotten when they have become too many.
 
-    def __init__(self, tokenizer, most_words: int = WORDS, most_ids: int = 8 * WORDS):
-        self.tokenizer, self.most_words, self.most_ids = tokenizer, most_words, most_ids
+    Place 0 is the end of a text.
+    """
+
+    def __init__(self, tokenizer, end_id: int, most_words: int = WORDS, most_ids: int = 8 * WORDS):
+        self.tokenizer, self.end_id, self.most_words, self.most_ids = tokenizer, end_id, most_words, most_ids
+        sign = tokenizer.encode(SIGN, add_special_tokens=False).ids
+        self.sign = sign[0] if len(sign) == 1 else None
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.ids, self.begin = np.array([self.end_id], "<u4"), np.array([0, 1], np.int64)
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _in_lines(self, words: list[str], width: int = 256, at_once: int = 5_000):
+        """Ids of words that go many in one text, ``SIGN`` behind each, and the number of ids of each word.
+
+        A text has one sign for each word, and more only if a word makes that id itself; then its words go one by one.
+        """
+        for i in range(0, len(words), at_once):
+            some = words[i:i + at_once]
+            lines = [some[j:j + width] for j in range(0, len(some), width)]
+            for line, ids in zip(lines, self._encoded([f" {SIGN} ".join(x) + f" {SIGN}" for x in lines])):
+                signs = np.flatnonzero(ids == self.sign)
+                if len(signs) == len(line):
+                    yield np.delete(ids, signs), np.diff(signs, prepend=-1) - 1
+                else:
+                    yield from self._one_by_one(line)
+
+    def _one_by_one(self, words: list[str], at_once: int = 5_000):
+        for i in range(0, len(words), at_once):
+            found = self._encoded(words[i:i + at_once])
+            yield np.concatenate(found), np.array([len(f) for f in found], np.int64)
 
     def places(self, words: list[str]) -> np.ndarray:
         """The place of each of some distinct words: its ids are ``ids[begin[place]:begin[place + 1]]``."""
         if len(self.place) > self.most_words or len(self.ids) > self.most_ids:
             self._forget()
         fresh = [w for w in words if w not in self.place]
-        ids, sizes = [self.ids], []
-        for i in range(0, len(fresh), 5_000):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh[i:i + 5_000], add_special_tokens=False)]
-            sizes += map(len, found)
-            ids.append(np.fromiter((x for f in found for x in f), np.uint32, sum(map(len, found))))
         if fresh:
-            self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh))))
-            self.ids = np.concatenate(ids)
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.array(sizes, np.int64))])
+            plain = [w for w in fresh if SIGN not in w] if self.sign is not None else []
+            single = [w for w in fresh if SIGN in w] if self.sign is not None else fresh
+            found = [*self._in_lines(plain), *self._one_by_one(single)]
+            self.place.update(zip(plain + single, range(len(self.begin) - 1, len(self.begin) - 1 + len(fresh))))
+            self.ids = np.concatenate([self.ids, *[ids for ids, _ in found]]).astype("<u4", copy=False)
+            sizes = np.concatenate([n for _, n in found])
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
 
-def token_ids(known: Words, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, each closed by ``end_id``, and the offsets of the texts.
+def token_ids(known: Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, each closed by the end id, and the offsets of the texts.
 
     The tokenizer drops white space and joins nothing across it, so each distinct word is encoded once and
     its ids are put wherever it stands.
     """
     lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
     coded = lists.flatten().dictionary_encode()
-    place = known.places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)] \
-        if len(coded) else np.zeros(0, np.int64)
+    found = known.places(coded.dictionary.to_pylist())
+    at = lists.offsets.to_numpy().astype(np.int64) + np.arange(len(texts) + 1)
+    ends = np.zeros(at[-1], bool)
+    ends[at[1:] - 1] = True
+    place = np.zeros(at[-1], np.int64)
+    place[~ends] = found[coded.indices.to_numpy(zero_copy_only=False)]
     first = known.begin[place]
     per_word = known.begin[place + 1] - first
     upto = np.concatenate([[0], np.cumsum(per_word)])
-    ends = upto[lists.offsets.to_numpy()]
-    spots = np.repeat(first - upto[:-1], per_word) + np.arange(upto[-1])
-    out = np.insert(known.ids[spots], ends[1:], end_id) if len(texts) else known.ids[:0]
-    return out.astype("<u4"), ends + np.arange(len(texts) + 1)
+    spots = np.repeat(first - upto[:-1], per_word)
+    spots += np.arange(upto[-1])
+    return known.ids[spots], upto[at]
 
 
 def _tokenised(path: str, window: int, chunk: int, end_id: int):
@@ -80,10 +112,10 @@ def _tokenised(path: str, window: int, chunk: int, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        known = Words(Tokenizer.from_file(path))
+        known = Words(Tokenizer.from_file(path), end_id)
         for batch in batches:
             for a, b, texts in pieces(batch.column(1), PIECE_BYTES):
-                ids, at = token_ids(known, [t.decode() for t in texts], end_id)
+                ids, at = token_ids(known, [t.decode() for t in texts])
                 raw = memoryview(ids.tobytes())
                 full, rest, parts = [], [], []
                 for s, e in zip(at.tolist(), at[1:].tolist()):
