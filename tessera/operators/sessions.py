@@ -40,14 +40,18 @@ def limit_sliding(df: DataFrame, keys, order, ts: str, max_calls: int, window_se
                   "allowed boolean", **sizes)
 
 
-def limit_bucket(df: DataFrame, keys, order, ts: str, capacity: int, rate: float, **sizes) -> DataFrame:
-    """``allowed`` per call under a discrete token bucket (ST-4)."""
-    return _timed(df, keys, order, ts, steps.bucket_discrete(capacity, rate), "allowed boolean", **sizes)
-
-
-def wait_bucket(df: DataFrame, keys, order, ts: str, capacity: int, rate: float, **sizes) -> DataFrame:
-    """``wait`` in seconds per call under a continuous token bucket (ST-5)."""
-    return _timed(df, keys, order, ts, steps.bucket_continuous(capacity, rate), "wait double", **sizes)
+def limit_bucket(df: DataFrame, keys, order, ts: str, capacity: int, rate: float, need: str | None = None, **sizes
+                 ) -> DataFrame:
+    """``allowed`` per call under a discrete token bucket (ST-4); column ``need`` holds the tokens of each call."""
+    return _timed(df, keys, order, ts, steps.bucket_discrete(capacity, rate), "allowed boolean",
+                  [need] if need else [], **sizes)
+
+
+def wait_bucket(df: DataFrame, keys, order, ts: str, capacity: int, rate: float, need: str | None = None, **sizes
+                ) -> DataFrame:
+    """``wait`` in seconds per call under a continuous token bucket (ST-5); ``need`` as in :func:`limit_bucket`."""
+    return _timed(df, keys, order, ts, steps.bucket_continuous(capacity, rate), "wait double",
+                  [need] if need else [], **sizes)
 
 
 def replay_responses(df: DataFrame, keys, order, ts: str, method: str, path: str, key: str, body: str,

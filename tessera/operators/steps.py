@@ -68,14 +68,23 @@ def sliding_limiter(max_calls: int, window: int) -> Callable:
     return _past_nulls(step)
 
 
+def _asked(tokens, need: int) -> int:
+    """Tokens a call asks for; ``need`` where the row does not say."""
+    return need if tokens is None or tokens != tokens else int(tokens)
+
+
 def bucket_discrete(capacity: int, rate: float, need: int = 1) -> Callable:
-    """Bucket that starts empty and refills whole tokens; fractions are lost (ST-4)."""
+    """Bucket that starts empty and refills whole tokens; fractions are lost (ST-4).
 
-    def step(state, t):
+    A second value is the number of tokens of this call, ``need`` if it is NULL or not given.
+    """
+
+    def step(state, t, asked=None):
+        want = _asked(asked, need)
         tokens, last = (0, t) if state is None else state
         tokens = min(capacity, tokens + int((t - last) / SECOND * rate))
-        taken = tokens >= need
-        return [tokens - need if taken else tokens, t], (taken,)
+        taken = tokens >= want
+        return [tokens - want if taken else tokens, t], (taken,)
 
     return _past_nulls(step)
 
@@ -83,17 +92,19 @@ def bucket_discrete(capacity: int, rate: float, need: int = 1) -> Callable:
 def bucket_continuous(capacity: int, rate: float, need: int = 1) -> Callable:
     """Bucket that starts full and makes the caller wait instead of refusing (ST-5).
 
-    A call is served after its wait, so a following one cannot start earlier.
+    A call is served after its wait, so a following one cannot start earlier. A second value is the number
+    of tokens of this call, ``need`` if it is NULL or not given.
     """
 
-    def step(state, t):
+    def step(state, t, asked=None):
+        want = _asked(asked, need)
         tokens, last = (float(capacity), t) if state is None else state
         now = max(t, last)
         tokens = min(float(capacity), tokens + (now - last) / SECOND * rate)
-        if tokens < need:
-            now += round((need - tokens) / rate * SECOND)
-            tokens = float(need)
-        return [tokens - need, now], ((now - t) / SECOND,)
+        if tokens < want:
+            now += round((want - tokens) / rate * SECOND)
+            tokens = float(want)
+        return [tokens - want, now], ((now - t) / SECOND,)
 
     return _past_nulls(step)
 

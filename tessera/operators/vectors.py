@@ -153,12 +153,16 @@ class ClusteredLists:
     @classmethod
     def build(cls, df: DataFrame, key: str, vector: str, lists: int = 100, seed: int = 7,
               sample_rows: int | None = None, path: str | None = None) -> ClusteredLists:
-        """Learn centres on a bounded sample, assign all rows, write one folder per list."""
+        """Learn centres on a sample of ``sample_rows`` (256 a list by default), assign all rows, write one folder per list.
+
+        Vectors without a direction (NULL or zero) are kept in list -1, which every search reads.
+        """
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.functions import array_to_vector
 
         spark = df.sparkSession
-        usable = df.filter(magnitude(F.col(vector)) > 0)
+        points = F.coalesce(magnitude(F.col(vector)) > 0, F.lit(False))
+        usable = df.filter(points)
         featured = usable.withColumn("__f", array_to_vector(normalise(F.col(vector))))
         total, wanted = usable.count(), sample_rows or 256 * lists
         sample = featured.select("__f")
@@ -167,7 +171,8 @@ class ClusteredLists:
         model = KMeans(k=lists, seed=seed, featuresCol="__f", predictionCol="list_id", maxIter=10).fit(sample)
         path = path or scratch_path(spark, "lists")
         # Rebalancing splits a list that holds much of the data and merges small ones.
-        (model.transform(featured).drop("__f").hint("rebalance", F.col("list_id")).write.partitionBy("list_id").parquet(path))
+        listed = model.transform(featured).drop("__f").unionByName(df.filter(~points).withColumn("list_id", F.lit(-1)))
+        listed.hint("rebalance", F.col("list_id")).write.partitionBy("list_id").parquet(path)
         centres = [[float(x) for x in c] for c in model.clusterCenters()]
         return cls(spark.read.parquet(path), centres, key, vector)
 
@@ -177,7 +182,7 @@ class ClusteredLists:
         unit = [x / length for x in query]
         gap = [sum((a - b) ** 2 for a, b in zip(unit, c)) for c in self.centres]
         chosen = sorted(range(len(gap)), key=gap.__getitem__)[:nprobe]
-        return self.table.filter(F.col("list_id").isin(chosen))
+        return self.table.filter(F.col("list_id").isin(-1, *chosen))
 
     def search(self, query: Sequence[float], k: int, nprobe: int = 10, where: Column | None = None) -> DataFrame:
         return nearest(self.probe(query, nprobe), query, self.key, self.vector, k, where=where).drop("list_id")

@@ -129,11 +129,13 @@ def _(t):
     return sf.run_to_table(out.select("event_id", r("wait", 2).alias("wait")), "waits")
 
 
-@query("stream_replay_responses", "ST-6", ORACLES["replay_responses"].split(" UNION ALL SELECT event_id, CAST(value")[0])
+@query("stream_replay_responses", "ST-6", ORACLES["replay_responses"])
 def _(t):
-    rows = events(t, "event_id", "ts", F.col("event_type").alias("path"), F.col("user_id").cast("string").alias("key"),
-                  F.col("value").cast("string").alias("body")).filter("path IN ('click', 'view', 'purchase')")
-    out = sf.replay_responses(rows, ["ts", "event_id"], "ts", "path", "key", "body")
+    method = F.when(F.col("event_type") == "purchase", "PATCH").when(F.col("event_type") == "error", "GET").otherwise("POST")
+    key = F.when(F.col("event_type") != "signup", F.col("user_id").cast("string"))
+    rows = events(t, "event_id", "ts", method.alias("method"), F.col("event_type").alias("path"), key.alias("key"),
+                  F.col("value").cast("string").alias("body"))
+    out = sf.replay_responses(rows, ["ts", "event_id"], "ts", "path", "key", "body", method="method")
     return sf.run_to_table(out.select("event_id", "response", "replayed"), "replay")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tessera.operators import dml
 from tessera.operators.joins import order_view
-from tessera.operators.ordering import top_per_key
+from tessera.operators.ordering import order_names, top_per_key
 from tessera.session import cut_lineage, scratch_path
 from tessera.sources.sinks import write_batches
 from tessera.streaming.stateful import run_batches
@@ -100,17 +100,20 @@ class View:
         return top_per_key(stacked, [self.key], ["-__n"], 1).drop("__n", "rn")
 
 
-def project_orders(stream: DataFrame, users: DataFrame, items: DataFrame, path: str | None = None) -> View:
+def project_orders(stream: DataFrame, users: DataFrame, items: DataFrame, path: str | None = None,
+                   newest: Sequence[str] = ()) -> View:
     """Keep the order view up to date from a stream of created orders (ST-8).
 
-    With a ``path`` the view and the stream's progress live there and go on
+    Of several events of an order in one micro-batch the first by ``newest`` counts (such as
+    ``["-created_at"]``), ties by the other columns; a later micro-batch replaces an earlier one. With a ``path`` the view and the stream's progress live there and go on
     after a restart.
     """
     view = None
 
     def handle(batch: DataFrame, number: int) -> None:
         nonlocal view
-        rows = order_view(batch.dropDuplicates(["order_id"]), users, items)
+        rest = [c for c in batch.columns if c not in ("order_id", *order_names(newest))]
+        rows = order_view(top_per_key(batch, ["order_id"], [*newest, *rest], 1).drop("rn"), users, items)
         if view is None:
             view = View(batch.sparkSession, rows.schema, "order_id", path and f"{path}/view")
         view.upsert(rows, number)

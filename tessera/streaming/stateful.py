@@ -83,25 +83,34 @@ def limit_sliding(stream: DataFrame, keys, order, ts: str, max_calls: int, windo
                   "allowed boolean")
 
 
-def limit_bucket(stream: DataFrame, keys, order, ts: str, capacity: int, rate: float) -> DataFrame:
-    """Discrete token bucket on a stream (ST-4)."""
-    return _timed(stream, keys, order, ts, steps.bucket_discrete(capacity, rate), "allowed boolean")
+def limit_bucket(stream: DataFrame, keys, order, ts: str, capacity: int, rate: float, need: str | None = None
+                 ) -> DataFrame:
+    """Discrete token bucket on a stream (ST-4); column ``need`` holds the tokens of each call."""
+    return _timed(stream, keys, order, ts, steps.bucket_discrete(capacity, rate), "allowed boolean",
+                  [need] if need else [])
 
 
-def wait_bucket(stream: DataFrame, keys, order, ts: str, capacity: int, rate: float) -> DataFrame:
-    """Continuous token bucket on a stream (ST-5)."""
-    return _timed(stream, keys, order, ts, steps.bucket_continuous(capacity, rate), "wait double")
+def wait_bucket(stream: DataFrame, keys, order, ts: str, capacity: int, rate: float, need: str | None = None
+                ) -> DataFrame:
+    """Continuous token bucket on a stream (ST-5); ``need`` as in :func:`limit_bucket`."""
+    return _timed(stream, keys, order, ts, steps.bucket_continuous(capacity, rate), "wait double",
+                  [need] if need else [])
 
 
 def replay_responses(stream: DataFrame, order, ts: str, path: str, key: str, body: str,
-                     ttl_seconds: float = 86_400) -> DataFrame:
+                     ttl_seconds: float = 86_400, method: str | None = None) -> DataFrame:
     """Idempotent replay of keyed requests on a stream (ST-6).
 
-    Takes the requests that are kept (POST and PATCH with a key); the others
-    need no state and pass beside it.
+    POST and PATCH with a key are kept; all others need no state and pass beside it with their own body.
+    Without a ``method`` column all rows are requests to keep.
     """
-    return _timed(stream, [path, key], order, ts, steps.replay_guard(round(ttl_seconds * SECOND)),
-                  "response string, replayed boolean", extra=[body])
+    guard = steps.replay_guard(round(ttl_seconds * SECOND))
+    adds = "response string, replayed boolean"
+    if method is None:
+        return _timed(stream, [path, key], order, ts, guard, adds, extra=[body])
+    kept = F.coalesce(F.col(method).isin("POST", "PATCH") & (F.col(key) != ""), F.lit(False))
+    plain = stream.filter(~kept).select("*", F.col(body).cast("string").alias("response"), F.lit(False).alias("replayed"))
+    return _timed(stream.filter(kept), [path, key], order, ts, guard, adds, extra=[body]).unionByName(plain)
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, bytes_per_trigger: int = 512 * 1024 * 1024) -> DataFrame:

@@ -182,6 +182,15 @@ def test_clustered_recall(spark):
     assert hits / 30 >= 0.6
 
 
+def test_clustered_keeps_vectors_without_direction(spark):
+    data = [(i, [float(i % 3), 1.0]) for i in range(20)] + [(20, [0.0, 0.0]), (21, None)]
+    df = spark.createDataFrame(data, "vec_id int, embedding array<double>")
+    index = vc.ClusteredLists.build(df, "vec_id", "embedding", lists=2)
+    got = [r[0] for r in index.search([1.0, 1.0], 22, nprobe=2).select("vec_id").collect()]
+    exact = [r[0] for r in vc.nearest(df, [1.0, 1.0], "vec_id", "embedding", 22).select("vec_id").collect()]
+    assert got == exact and got[-2:] == [20, 21]
+
+
 def test_captured_errors(spark):
     def task(n):
         if n == 5:

@@ -81,6 +81,27 @@ def test_bucket_boundaries(spark):
     assert waits[:4] == [0, 0, 0, 0] and waits[-1] > 0
 
 
+def test_tokens_per_call(spark):
+    """Each call asks for tokens of its own; NULL asks for one."""
+    data = [("k", i, START + timedelta(seconds=s), n) for i, (s, n) in enumerate([(0, 1), (4, 3), (4, 2), (5, None), (6, 1)])]
+    df = spark.createDataFrame(data, "k string, id int, ts timestamp, n int")
+    got = ss.limit_bucket(df, ["k"], ["ts", "id"], "ts", 4, 1.0, need="n").orderBy("id").collect()
+    assert [r["allowed"] for r in got] == [False, True, False, True, True]
+    got = ss.wait_bucket(df, ["k"], ["ts", "id"], "ts", 4, 1.0, need="n").orderBy("id").collect()
+    assert [r["wait"] for r in got] == [0, 0, 1, 1, 1]
+
+
+def test_newest_event_of_an_order(spark, tmp_path):
+    users = spark.createDataFrame([(1, "Ann")], "user_id int, user_name string")
+    items = spark.createDataFrame([(10, 2.0)], "order_id int, amount double")
+    kind = "order_id int, user_id int, status string, at int"
+    (spark.createDataFrame([(10, 1, "new", 1), (10, 1, "sent", 3), (10, 1, "paid", 2)], kind)
+     .write.parquet(str(tmp_path / "in")))
+    stream = spark.readStream.schema(kind).parquet(str(tmp_path / "in"))
+    view = rt.project_orders(stream, users, items, newest=["-at"])
+    assert rows(view.read().select("order_id", "status")) == [(10, "sent")]
+
+
 def test_window_edge(spark):
     data = [("k", i, START + timedelta(seconds=s)) for i, s in enumerate([0, 10, 10.5])]
     df = spark.createDataFrame(data, "k string, id int, ts timestamp")
