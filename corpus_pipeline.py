@@ -26,10 +26,26 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.filter("predicted = 1").select("row.*")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The documents, written once, each row with a ``key`` of its own, whatever rows share its id or repeat it.
+
+    Keys are in order of id (nulls last), content and number of the row, so only rows equal in all columns
+    are told apart by their place in the input.
+    """
+    spark = docs.sparkSession
+    keyed = docs.select(*COLUMNS, F.struct(
+        F.col("doc_id").isNull().alias("absent"), F.col("doc_id").alias("id"), F.xxhash64(*COLUMNS).alias("content"),
+        F.monotonically_increasing_id().alias("row")).alias("key"))
+    path = scratch_path(spark, "numbered")
+    keyed.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(keyed.schema).parquet(path)
+
+
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of near copies; ids are unique."""
-    classes = cut_lineage(near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id"))
-    return docs.join(classes, docs.doc_id.eqNullSafe(classes.doc_id), "left_semi").select(*COLUMNS)
+    """One document, the row of the least key, of each group of near copies; repeated rows are copies."""
+    rows = numbered(docs)
+    leads = near_duplicates(rows, "key").filter("doc_id.row = class_id.row").select(F.col("doc_id.row").alias("lead"))
+    return rows.join(cut_lineage(leads), F.col("key.row") == F.col("lead"), "left_semi").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

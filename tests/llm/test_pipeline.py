@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 
 from check_sql import difference
-from llm_fixtures import make, sentence
+from llm_fixtures import COLUMNS, make, sentence
 from oracle import connect
 
 import corpus_pipeline
@@ -77,3 +77,15 @@ def test_stages_on_hard_rows(spark, tmp_path):
             if n == 0 and i == 0:
                 assert sorted(r.doc_id for r in docs.collect()) == [0, 1, 2, 3, 5, 6]
         assert (docs.count() > 0) == (n == 0)
+
+
+def test_one_row_of_each_group(spark, tmp_path):
+    """Repeated rows, shared ids and null ids: each group keeps one row, and its text stays in the corpus."""
+    a, b, c, d, e = (sentence(i, 120) for i in range(11, 16))
+    given = [(1, a), (1, a), (1, a), (2, b), (2, c), (3, b), (None, d), (None, d), (None, e), (None, a), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in given], COLUMNS)
+    want = Counter([(1, a), (2, b), (2, c), (None, d), (None, e), (None, None)])
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[1:3]):
+        stage(spark, docs, FOLDER).write.parquet(str(tmp_path / str(i)))
+        docs = spark.read.parquet(str(tmp_path / str(i)))
+        assert Counter((r.doc_id, r.text) for r in docs.collect()) == want
