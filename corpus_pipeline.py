@@ -60,9 +60,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_by_weight(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    copies = mix_sources(docs).select(F.col("doc_id").alias("id"), "copies").filter("copies > 0")
-    taken = docs.join(cut_lineage(copies), docs.doc_id.eqNullSafe(F.col("id")))
+    """Each row as often as the mix takes it, whatever rows share its id or repeat it."""
+    rows = numbered(docs)
+    copies = cut_lineage(mix_sources(rows, "key").select(F.col("doc_id.row").alias("taken"), "copies").filter("copies > 0"))
+    taken = rows.join(copies, F.col("key.row") == F.col("taken"))
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select(*COLUMNS)
 
 

@@ -10,6 +10,7 @@ from llm_fixtures import COLUMNS, make, sentence
 from oracle import connect
 
 import corpus_pipeline
+from tessera.llm.mixing import mix_sources
 from tessera.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -89,3 +90,17 @@ def test_one_row_of_each_group(spark, tmp_path):
         stage(spark, docs, FOLDER).write.parquet(str(tmp_path / str(i)))
         docs = spark.read.parquet(str(tmp_path / str(i)))
         assert Counter((r.doc_id, r.text) for r in docs.collect()) == want
+
+
+def test_mix_takes_each_row_by_itself(spark):
+    """Rows that share an id, also none, or repeat are taken as often as the mix says of each, at most three times."""
+    given = [*((None, sentence(21, 40 + i), "a") for i in range(6)), *((7, sentence(22, 50), "b") for _ in range(5)),
+             *((7, sentence(23, 60 + i), "b") for i in range(4)), *((i, sentence(24, 70 + i), "c") for i in range(4))]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in given], COLUMNS)
+    want = Counter()
+    for r in mix_sources(docs).collect():
+        want[r.doc_id, r.size, r.source] += r.copies
+    got = Counter((r.doc_id, len(r.text.split()), r.source) for r in corpus_pipeline.mix_by_weight(spark, docs, FOLDER).collect())
+    assert got == +want
+    rows = Counter((i, len(t.split()), s) for i, t, s in given)
+    assert all(n <= 3 * rows[k] for k, n in got.items())
