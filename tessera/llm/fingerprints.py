@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tessera.llm.arrays import U64, Block, mix, pieces, runs_hash
 
 BUCKET_BYTES = 4 << 20
+#: A text with fewer words of the lexicon, or with fewer than half of its words there, is compared by all its words.
+FEW_WORDS = 8
 
 
 def document_terms(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -44,23 +46,34 @@ class Subsets:
         self.lexicon, self.levels, self.each = lexicon, levels, each
         self.seeds = mix(np.arange(each, dtype=np.uint64) + U64(101)) | U64(1)
 
-    def signatures(self, texts: list[bytes]) -> np.ndarray:
+    def signatures(self, texts: list[bytes], whole: bool = False) -> np.ndarray:
         """For each text one hash for each subset: of its sorted distinct terms there, 0 for none.
 
+        With ``whole`` all words of a text stand for its words of the lexicon.
+
         Subset (level, draw) holds the terms whose hash under the draw has ``level`` leading zero bits.
         The sum of hashes stands for the sorted list, since it is the same for the same set. A text without
         words of the lexicon has the hash of its bytes everywhere, so it is like its equals and no other text.
         """
+        return self.judged(texts, whole)[0]
+
+    def judged(self, texts: list[bytes], whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures of the texts, and which texts have too few of their words in the lexicon."""
         out = np.zeros((len(texts), self.levels, self.each), np.uint64)
         block = Block(texts)
         owner, terms = document_terms(block)
-        if len(self.lexicon):
+        distinct = np.bincount(owner, minlength=len(texts))
+        if whole:
+            pass
+        elif len(self.lexicon):
             near = np.minimum(np.searchsorted(self.lexicon, terms), len(self.lexicon) - 1)
             known = self.lexicon[near] == terms
             owner, terms = owner[known], terms[known]
         else:
             owner, terms = owner[:0], terms[:0]
-        bare = np.bincount(owner, minlength=len(texts)) == 0
+        known_words = np.bincount(owner, minlength=len(texts))
+        few = (known_words < FEW_WORDS) | (2 * known_words < distinct)
+        bare = known_words == 0
         if bare.any():
             out[bare] = (runs_hash(block.byte_sums(), block.start, block.end)[bare] | U64(1))[:, None, None]
         for d, seed in enumerate(self.seeds):
@@ -73,7 +86,7 @@ class Subsets:
                     break
                 first = np.flatnonzero(np.diff(who, prepend=-1))
                 out[who[first], level, d] = np.add.reduceat(drawn | U64(1), first)
-        return out.reshape(len(texts), -1)
+        return out.reshape(len(texts), -1), few
 
     def likeness(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Share of subsets on which two texts agree, at the rates where both hold few terms; 0 to 1.
@@ -116,14 +129,31 @@ def _walk(subsets):
             edited.append(t[:len(t) - half] + n[:half])
         raw = [x.encode() for x in edited]
         number = {t: i for i, t in enumerate(dict.fromkeys(texts + after))}  # most texts are a successor too
-        plain = subsets.signatures([t.encode() for t in number])
-        sign = [plain[[number[t] for t in texts]], subsets.signatures(raw), plain[[number[n] for n in after]]]
+        once = [t.encode() for t in number]
+        at, to = np.array([number[t] for t in texts]), np.array([number[n] for n in after])
+        (plain, few), (other, few_edited) = subsets.judged(once), subsets.judged(raw)
+        # a pair is compared by all words if either text has few in the lexicon, so both by the same words
+        by_all, next_by_all = few[at] | few_edited, few[at] | few[to]
+        need = few.copy()
+        need[np.concatenate([at[by_all | next_by_all], to[next_by_all]])] = True
+
+        def all_words(texts, sign, need):
+            out = sign.copy()
+            if need.any():
+                out[need] = subsets.signatures([texts[i] for i in np.flatnonzero(need)], whole=True)
+            return out
+
+        full, full_edited = all_words(once, plain, need), all_words(raw, other, by_all)
+        pick = lambda use, a, b: np.where(use[:, None], a, b)
+        like_edited = subsets.likeness(pick(by_all, full[at], plain[at]), pick(by_all, full_edited, other))
+        like_next = subsets.likeness(pick(next_by_all, full[at], plain[at]), pick(next_by_all, full[to], plain[to]))
+        sign = [pick(few[at], full[at], plain[at]), pick(few_edited, full_edited, other)]
         shown = lambda s: [x.tobytes().hex() for x in
                            (s.reshape(len(s), subsets.levels, -1)[:, :, :4] >> U64(16)).astype(">u4")]
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], rows[0][3]), pa.array([len(t) for t in texts], pa.int64()),
              pa.array([sha256(x).hexdigest() for x in raw]), pa.array(shown(sign[0])), pa.array(shown(sign[1])),
-             pa.array(subsets.likeness(sign[0], sign[1])), pa.array(subsets.likeness(sign[0], sign[2]))],
+             pa.array(like_edited), pa.array(like_next)],
             ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     def run(batches):
@@ -162,8 +192,10 @@ def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", idf
 
     Documents are dealt by ranges of id to buckets of about ``bucket_bytes`` of text; the first document of a
     bucket is also sent to the bucket before, so each bucket knows all its successors and the texts are
-    shuffled once. Null texts count as empty; texts without words of the lexicon, also empty ones, are like equal
-    texts (1) and no others (0). Equal ids follow each other by text; null ids come first; a single document is its own
+    shuffled once. A text with fewer than ``FEW_WORDS`` words of the lexicon, or with fewer than half of its words
+    there, such as one of a group of near copies so large that the words they share are none of the lexicon, has the
+    fingerprint of all its words, and a pair with such a text is compared by all words of both. Null texts count as
+    empty; texts without words, also empty ones, are like equal texts (1) and no others (0). Equal ids follow each other by text; null ids come first; a single document is its own
     successor; an empty table gives an empty table. Other columns are not read.
     """
     spark = docs.sparkSession

@@ -201,6 +201,24 @@ def test_fingerprints_without_words_of_the_lexicon():
     assert like.tolist() == [1, 0, 1, 0]
 
 
+def test_fingerprints_of_a_large_group_of_near_copies(spark):
+    """The words that copies share may be too frequent for the lexicon; the copies are still like each other."""
+    from tessera.llm.fingerprints import fingerprint
+
+    group = sentence(50, 100)
+    copies = [f"{group} own{i}a own{i}b" for i in range(100)]
+    for texts in (copies + [sentence(100 + i, 100) for i in range(200)],
+                  [t for i in range(100) for t in (sentence(100 + i, 100), copies[i], sentence(300 + i, 100))]):
+        got = by_id(fingerprint(make(spark, texts)))
+        near = [got[i][0] for i in range(99) if group in texts[i] and group in texts[i + 1]]
+        assert len(near) in (0, 99) and all(r.near_next > 0.6 and r.near_edited > 0.25 for r in near)
+        mixed = [got[i][0] for i in range(299) if (group in texts[i]) != (group in texts[i + 1])]
+        assert np.mean([r.near_edited for r in mixed]) > 0.1 and max(r.near_next for r in mixed) < 0.2
+    assert got[1][0].fingerprint != got[4][0].fingerprint
+    shared = lambda a, b: sum(a[i:i + 8] == b[i:i + 8] for i in range(0, len(a), 8)) / (len(a) / 8)
+    assert shared(got[1][0].fingerprint, got[4][0].fingerprint) > 0.6
+
+
 def test_lexicon_band(spark):
     from tessera.llm.arrays import Block
     from tessera.llm.fingerprints import document_terms, lexicon_of
