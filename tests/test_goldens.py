@@ -182,6 +182,25 @@ def test_clustered_recall(spark):
     assert hits / 30 >= 0.6
 
 
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_of_registered_searches(spark, scale):
+    """Over all ids divisible by 100, with the lists that clustered_nearest and staged_search read."""
+    from pyspark.sql import functions as F
+
+    from tessera.plans import search as ps
+
+    e = spark.read.parquet(f"/root/testdata/{scale}/embeddings.parquet")
+    index = vc.ClusteredLists.build(e, "vec_id", "embedding", lists=16)
+    asked = e.filter("vec_id % 100 = 0").select("vec_id", "embedding").collect()
+    for where, k in ((None, 10), (F.col("label").isin(0, 1, 2, 3, 4), 50)):
+        hits = total = 0
+        for _, q in asked:
+            exact = {r[0] for r in vc.nearest(e, q, "vec_id", "embedding", k, where=where).select("vec_id").collect()}
+            found = {r[0] for r in index.search(q, k, ps.NPROBE, where).select("vec_id").collect()}
+            hits, total = hits + len(exact & found), total + len(exact)
+        assert hits >= 0.9 * total
+
+
 def test_clustered_keeps_vectors_without_direction(spark):
     data = [(i, [float(i % 3), 1.0]) for i in range(20)] + [(20, [0.0, 0.0]), (21, None)]
     df = spark.createDataFrame(data, "vec_id int, embedding array<double>")
