@@ -78,10 +78,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     that were cut in two). Texts are UTF-8 bytes and matches never
     cross documents; strings are judged on the input, so all copies of a repeated string go.
 
-    Method: positions at the residues of a difference cover are the sample. Two equal strings always meet
-    at a pair of sample positions, wherever they start, so a suffix all of whose sample ranks are unique has
-    its tie resolved at once. The remaining suffixes are sorted one bucket at a time, to the depth that
-    matters; see :mod:`tessera.llm.repeats`.
+    Method: no suffix order and no ranks are computed. Positions at the residues of a difference cover are the
+    sample; two equal strings always meet at a pair of sample positions, wherever they start, so a string none of
+    whose samples is seen twice is dropped. The others are compared by 128-bit hashes of whole strings in buckets
+    by minimiser, as op 7 does, since only equality to ``length`` bytes is asked; see :mod:`tessera.llm.repeats`.
 
     Null texts count as empty, texts shorter than ``length`` stay whole, repeated rows are documents of
     their own (and so remove each other), an empty table gives an empty table. Other columns are left out
