@@ -1,7 +1,7 @@
 """Registered queries of this package and their SQL twins."""
 
-from tessera.llm import (fingerprints, jaccard, licenses, maxscore, mixing, packing, quality, suffix_dedup, tokens,
-                         window_dedup)
+from tessera.llm import (fingerprints, jaccard, licenses, maxscore, merkle, mixing, packing, personal, quality, spelling,
+                         suffix_dedup, tokens, window_dedup)
 
 QUERIES = {f.__name__: f for f in (
     fingerprints.op1_document_fingerprints,
@@ -14,6 +14,9 @@ QUERIES = {f.__name__: f for f in (
     licenses.op8_license_scan,
     maxscore.op9_exact_top_k,
     quality.op10_quality_classifier,
+    personal.op11_personal_data,
+    spelling.op12_spelling_variants,
+    merkle.op13_merkle_manifest,
 )}
 
 ORACLES = {
@@ -22,4 +25,6 @@ ORACLES = {
     "op6_suffix_array_dedup": suffix_dedup.OP6_SQL,
     "op7_substring_dedup": window_dedup.OP7_SQL,
     "op9_exact_top_k": maxscore.OP9_SQL,
+    "op12_spelling_variants": spelling.OP12_SQL,
+    "op13_merkle_manifest": merkle.OP13_SQL,
 }
