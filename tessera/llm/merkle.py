@@ -126,10 +126,10 @@ class _Forest:
         for level in reversed(self.levels):
             whole = (level.filter(F.col("n") <= self.size).select("tree").distinct().join(above, "tree")
                      .select("tree", F.lit(0).cast("bigint").alias("pos"), "path", "subroot", "root"))
-            outer = whole if paths is None else whole.unionByName(paths)
+            outer = cut_lineage(whole if paths is None else whole.unionByName(paths))
             if level is self.levels[0]:
-                return cut_lineage(outer)
-            paths = cut_lineage(self.cogroup(level, outer, False, _OUTER))
+                return outer
+            paths = self.cogroup(level, outer, False, _OUTER)
         return above
 
     def cogroup(self, nodes: DataFrame, outer: DataFrame, leaves: bool, schema: str) -> DataFrame:
