@@ -176,8 +176,8 @@ def learn_patterns(mentions: DataFrame, accept: float = 0.8, rounds: int = 8) ->
     A value seen as a base identifier has confidence 1 in its kind. A pattern's score for a kind is the confidence
     of its distinct values by their number plus two, so a pattern needs support and no other company; those of at
     least ``accept`` count. An unseen value gets the noisy or of the counting patterns it stands in, for the kinds
-    it fits; its best kind stays. Rounds end when no pattern is new or lost, after ``rounds`` at most. Confidences
-    are whole millionths, so sums do not depend on their order.
+    it fits; its best kind stays. Rounds end when no score changes, after ``rounds`` at most. Confidences are whole
+    millionths, so sums do not depend on their order.
 
     ``patterns``: ``pattern, kind, score``; ``instances``: ``value, kind, conf`` of at least ``accept``.
     """
@@ -197,7 +197,7 @@ def learn_patterns(mentions: DataFrame, accept: float = 0.8, rounds: int = 8) ->
                   .agg(F.sum("conf").alias("held")).join(size, "pattern")
                   .select("pattern", "kind", score.alias("score")).filter(F.col("score") >= accept))
         scored = cut_lineage(scored)
-        state = tuple(scored.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("pattern", "kind"))).head())
+        state = tuple(scored.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("pattern", "kind", "score"))).head())
         found = (open_edges.join(scored, ["pattern", "kind"]).groupBy("value", "kind")
                  .agg(F.sum(F.log(1 - F.col("score"))).alias("doubt"))
                  .select("value", "kind", F.round((1 - F.exp("doubt")) * 1_000_000).cast("bigint").alias("conf"))
