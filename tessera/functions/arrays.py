@@ -11,6 +11,20 @@ def contains_all(a: Column, b: Column) -> Column:
     return F.size(F.array_except(b, a)) == 0
 
 
+def run_lengths(a: Column) -> Column:
+    """``(value, many)`` for each run of equal neighbours; of a sorted array the counts of its values.
+
+    The array is bound by lambdas, so it and the run starts are computed once a row.
+    """
+    def runs(v):
+        starts = F.filter(F.sequence(F.lit(0), F.size(v) - 1), lambda i: (i == 0) | (F.get(v, i) != F.get(v, i - 1)))
+        return F.transform(F.array(starts), lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(v, i).alias("value"), (F.coalesce(F.get(at, k + 1), F.size(v)) - i).alias("many"))))[0]
+
+    some = F.transform(F.array(a), lambda v: F.when(F.size(v) > 0, runs(v)))
+    return some[0]
+
+
 def map_where(a: Column, keep: Callable, change: Callable) -> Column:
     """``change(x)`` for the elements that pass ``keep``."""
     return F.transform(F.filter(a, keep), change)

@@ -10,19 +10,10 @@ from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import tokens
 from tessera.operators.ordering import join_on_keys
+from tessera.operators.postings import B, K1, KeywordIndex, query_terms
 from tessera.operators.vectors import ClusteredLists, cosine_distance, literal_vector
 from tessera.session import cut_lineage
 
-K1 = 1.2
-B = 0.75
-
-
-def query_terms(query: str) -> list[str]:
-    """Distinct lower-case words of a query in order."""
-    words = "".join(c if c.isalnum() or c == "_" else " " for c in query.lower()).split()
-    return list(dict.fromkeys(words))
-
-
 def keyword_match(df: DataFrame, text: str, query: str) -> DataFrame:
     """Documents that hold every query word (V-10), decided inside the row."""
     have = tokens(F.col(text))
@@ -30,9 +21,9 @@ def keyword_match(df: DataFrame, text: str, query: str) -> DataFrame:
 
 
 def bm25(df: DataFrame, key: str, text: str, query: str, name: str = "score") -> DataFrame:
-    """BM25 of each document that holds every query word (V-11), squashed to ``s / (1 + s)``.
+    """BM25 of each document that holds every query word (V-11), squashed to ``s / (1 + s)``, for one query only.
 
-    Each text is read once: a narrow table of lengths and term counts is
+    Several queries of one corpus take a :class:`KeywordIndex`. Each text is read once: a narrow table of lengths and term counts is
     written, the corpus figures are one combined aggregate of a fixed width over
     it, and the score is computed from it. The text is not carried along.
     """
@@ -59,17 +50,16 @@ def _only(column: str, term: str) -> Column:
     return F.filter(column, lambda w: w == term)
 
 
-def hybrid_rank(docs: DataFrame, vectors: DataFrame, key: str, text: str, query: str, query_vector: Sequence[float],
+def hybrid_rank(index: KeywordIndex, vectors: DataFrame, query: str, query_vector: Sequence[float],
                 where: Column | None = None, weights: tuple[float, float] = (0.3, 0.7), limit: int = 20
                 ) -> DataFrame:
     """Weighted keyword score and vector closeness of documents matching text and metadata (V-12).
 
-    ``vectors`` is ``(key, embedding)``. The keyword figures are those of the
-    whole corpus; the metadata filter narrows the candidates afterwards.
+    ``vectors`` is ``(key, embedding)`` with the index's key. The keyword figures are those of the
+    whole corpus; the metadata filter narrows the candidates.
     """
-    scored = bm25(docs, key, text, query, "keyword_score")
-    if where is not None:
-        scored = scored.filter(where)
+    key = index.key
+    scored = index.score(query, "keyword_score", where)
     near = vectors.select(key, (F.lit(1.0) - cosine_distance(F.col("embedding"), literal_vector(query_vector)))
                           .alias("closeness"))
     a, b = weights
