@@ -54,18 +54,25 @@ def wait_bucket(df: DataFrame, keys, order, ts: str, capacity: int, rate: float,
                   [need] if need else [], **sizes)
 
 
+def needs_record(method: str, key: str) -> Column:
+    """Requests whose response is kept: POST and PATCH with a key."""
+    return F.coalesce(F.col(method).isin("POST", "PATCH") & (F.col(key) != ""), F.lit(False))
+
+
 def replay_responses(df: DataFrame, keys, order, ts: str, method: str, path: str, key: str, body: str,
-                     ttl_seconds: float = 86_400, **sizes) -> DataFrame:
-    """``response`` and ``replayed`` per request (ST-6).
+                     ttl_seconds: float = 86_400, status: str | None = None, **sizes) -> DataFrame:
+    """``response``, ``replayed`` and ``response_status`` per request (ST-6).
 
     Only POST and PATCH with a key are kept; the name space is path and key.
-    Other requests pass through without touching any state.
+    Other requests pass through without touching any state. Without a ``status`` column the status is NULL.
     """
-    kept = F.col(method).isin("POST", "PATCH") & (F.coalesce(F.col(key), F.lit("")) != "")
-    plain = df.filter(~F.coalesce(kept, F.lit(False))).withColumn("response", F.col(body)).withColumn(
-        "replayed", F.lit(False))
+    kept = needs_record(method, key)
+    code = F.col(status).cast("int") if status else F.lit(None).cast("int")
+    plain = df.filter(~kept).select("*", F.col(body).cast("string").alias("response"), F.lit(False).alias("replayed"),
+                                    code.alias("response_status"))
     guarded = _timed(df.filter(kept), [*keys, path, key], order, ts, steps.replay_guard(round(ttl_seconds * SECOND)),
-                     "response string, replayed boolean", extra=[body], **sizes)
+                     "response string, replayed boolean, response_status int",
+                     extra=[body, status] if status else [body], **sizes)
     return guarded.unionByName(plain)
 
 

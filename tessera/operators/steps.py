@@ -42,14 +42,18 @@ def undo_redo(max_history: int = 10) -> Callable:
     return step
 
 
-def _past_nulls(step: Callable, outcomes: int = 1) -> Callable:
-    """Rows without a time pass the rule with NULL outcomes and leave its state as it is."""
+def _past_nulls(step: Callable, outcomes: int = 1, ends: Callable | None = None) -> Callable:
+    """Rows without a time pass the rule with NULL outcomes and leave its state as it is.
+
+    ``ends(state)`` is the time after which a state decides like none, so that a stream may forget it.
+    """
 
     def run(state, t, *rest):
         if t is None or t != t:
             return state, (None,) * outcomes
         return step(state, int(t), *rest)
 
+    run.ends = ends
     return run
 
 
@@ -65,7 +69,7 @@ def sliding_limiter(max_calls: int, window: int) -> Callable:
             return calls, (False,)
         return calls + [t], (True,)
 
-    return _past_nulls(step)
+    return _past_nulls(step, ends=lambda calls: max(calls, default=0) + window)
 
 
 def _asked(tokens, need: int) -> int:
@@ -106,18 +110,20 @@ def bucket_continuous(capacity: int, rate: float, need: int = 1) -> Callable:
             tokens = float(want)
         return [tokens - want, now], ((now - t) / SECOND,)
 
-    return _past_nulls(step)
+    full = round((capacity / rate + 1) * SECOND)  # a full bucket is what a new one is
+    return _past_nulls(step, ends=lambda state: state[1] + full)
 
 
 def replay_guard(ttl: int = 86_400 * SECOND) -> Callable:
-    """First response kept for ``ttl``; repeats get it flagged, later ones a new one (ST-6)."""
+    """First response, body and status code, kept for ``ttl``; repeats get it flagged, later ones a new one (ST-6)."""
 
-    def step(state, t, body):
+    def step(state, t, body, status=None):
         if state is not None and t - state[0] < ttl:
-            return state, (state[1], True)
-        return [t, body], (body, False)
+            return state, (state[1], True, state[2])
+        status = None if status is None or status != status else int(status)
+        return [t, body, status], (body, False, status)
 
-    return _past_nulls(step, 2)
+    return _past_nulls(step, 3, ends=lambda state: state[0] + ttl)
 
 
 def ttl_cache(ttl: int) -> Callable:
@@ -128,7 +134,7 @@ def ttl_cache(ttl: int) -> Callable:
             return state, (True,)
         return t, (False,)
 
-    return _past_nulls(step)
+    return _past_nulls(step, ends=lambda t: t + ttl)
 
 
 def rolling(n: int) -> Callable:

@@ -166,17 +166,25 @@ def _(t):
                           2e-5).select("event_id", r("wait", 2).alias("wait"))
 
 
+def requests():
+    """Events as requests: three kinds with a key of their user, one without, one that only reads."""
+    method = F.when(F.col("event_type") == "purchase", "PATCH").when(F.col("event_type") == "error", "GET").otherwise("POST")
+    key = F.when(F.col("event_type") != "signup", F.col("user_id").cast("string"))
+    return ["event_id", "ts", method.alias("method"), F.col("event_type").alias("path"), key.alias("key"),
+            F.col("value").cast("string").alias("body"), (F.col("event_id") % 4 + 200).cast("int").alias("status")]
+
+
 @query("replay_responses", "ST-6", _N + """
-k AS (SELECT *, event_type IN ('click', 'view', 'purchase') AS kept, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS q FROM n),
-s AS (SELECT user_id, event_type, event_id, q, t, CAST(value AS VARCHAR) AS body, false AS replayed FROM k WHERE q = 1 AND kept
+k AS (SELECT *, CAST(event_id % 4 + 200 AS INT) AS code, event_type IN ('click', 'view', 'purchase') AS kept,
+ row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS q FROM n),
+s AS (SELECT user_id, event_type, event_id, q, t, CAST(value AS VARCHAR) AS body, code, false AS replayed FROM k WHERE q = 1 AND kept
  UNION ALL SELECT k.user_id, k.event_type, k.event_id, k.q, CASE WHEN k.t - s.t < 86400000000 THEN s.t ELSE k.t END,
- CASE WHEN k.t - s.t < 86400000000 THEN s.body ELSE CAST(k.value AS VARCHAR) END, k.t - s.t < 86400000000
+ CASE WHEN k.t - s.t < 86400000000 THEN s.body ELSE CAST(k.value AS VARCHAR) END,
+ CASE WHEN k.t - s.t < 86400000000 THEN s.code ELSE k.code END, k.t - s.t < 86400000000
  FROM s JOIN k ON k.user_id = s.user_id AND k.event_type = s.event_type AND k.q = s.q + 1)
-SELECT event_id, body AS response, replayed FROM s UNION ALL SELECT event_id, CAST(value AS VARCHAR), false FROM k WHERE NOT kept""")
+SELECT event_id, body AS response, replayed, code AS response_status FROM s
+UNION ALL SELECT event_id, CAST(value AS VARCHAR), false, code FROM k WHERE NOT kept""")
 def _(t):
-    method = F.when(F.col("event_type") == "purchase", "PATCH").when(F.col("event_type") == "error", "GET").otherwise("POST")
-    key = F.when(F.col("event_type") != "signup", F.col("user_id").cast("string"))
-    rows = t.events.select("event_id", "ts", method.alias("method"), F.col("event_type").alias("path"), key.alias("key"),
-                           F.col("value").cast("string").alias("body"))
-    return (ss.replay_responses(rows, [], ["ts", "event_id"], "ts", "method", "path", "key", "body")
-            .select("event_id", "response", "replayed"))
+    return (ss.replay_responses(t.events.select(*requests()), [], ["ts", "event_id"], "ts", "method", "path", "key", "body",
+                                status="status")
+            .select("event_id", "response", "replayed", "response_status"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera.plans.joins import view_inputs
+from tessera.plans.sequences import requests
 from tessera.plans.registry import ORACLES, query, r, text
 from tessera.session import scratch_path
 from tessera.sources import readers as rd
@@ -105,38 +106,45 @@ def _(t):
     return sf.run_to_table(sf.tagged(events(t, "event_id", "event_type")), "transform")
 
 
+def ordered(t, make, *columns):
+    """A rule over the events in order of time, whatever order their files come in."""
+    delay = sf.disorder(t.events, "ts")
+    return sf.run_in_time(lambda beats: make(events(t, *columns), delay=delay, beats=beats), t.spark)
+
+
 @query("stream_rolling_counts", "ST-2", ORACLES["rolling_counts"])
 def _(t):
-    out = sf.rolling_counts(events(t, "user_id", "event_id", "ts", "event_type"), ["user_id"], ["ts", "event_id"], "event_type", 5)
-    return sf.run_to_table(out.select("event_id", "counts"), "rolling")
+    return ordered(t, lambda rows, **timing: sf.rolling_counts(
+        rows, ["user_id"], ["ts", "event_id"], "event_type", 5, "ts", **timing).select("event_id", "counts"),
+        "user_id", "event_id", "ts", "event_type")
 
 
 @query("stream_limit_sliding_window", "ST-3", ORACLES["limit_sliding_window"])
 def _(t):
-    out = sf.limit_sliding(events(t, "user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"], "ts", 2, 86400)
-    return sf.run_to_table(out.select("event_id", "allowed"), "sliding")
+    return ordered(t, lambda rows, **timing: sf.limit_sliding(
+        rows, ["user_id"], ["ts", "event_id"], "ts", 2, 86400, **timing).select("event_id", "allowed"),
+        "user_id", "event_id", "ts")
 
 
 @query("stream_limit_token_bucket", "ST-4", ORACLES["limit_token_bucket"])
 def _(t):
-    out = sf.limit_bucket(events(t, "user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"], "ts", 3, 1.0 / 28800)
-    return sf.run_to_table(out.select("event_id", "allowed"), "bucket")
+    return ordered(t, lambda rows, **timing: sf.limit_bucket(
+        rows, ["user_id"], ["ts", "event_id"], "ts", 3, 1.0 / 28800, **timing).select("event_id", "allowed"),
+        "user_id", "event_id", "ts")
 
 
 @query("stream_wait_token_bucket", "ST-5", ORACLES["wait_token_bucket"])
 def _(t):
-    out = sf.wait_bucket(events(t, "user_id", "event_id", "ts"), ["user_id"], ["ts", "event_id"], "ts", 2, 2e-5)
-    return sf.run_to_table(out.select("event_id", r("wait", 2).alias("wait")), "waits")
+    return ordered(t, lambda rows, **timing: sf.wait_bucket(
+        rows, ["user_id"], ["ts", "event_id"], "ts", 2, 2e-5, **timing).select("event_id", r("wait", 2).alias("wait")),
+        "user_id", "event_id", "ts")
 
 
 @query("stream_replay_responses", "ST-6", ORACLES["replay_responses"])
 def _(t):
-    method = F.when(F.col("event_type") == "purchase", "PATCH").when(F.col("event_type") == "error", "GET").otherwise("POST")
-    key = F.when(F.col("event_type") != "signup", F.col("user_id").cast("string"))
-    rows = events(t, "event_id", "ts", method.alias("method"), F.col("event_type").alias("path"), key.alias("key"),
-                  F.col("value").cast("string").alias("body"))
-    out = sf.replay_responses(rows, ["ts", "event_id"], "ts", "path", "key", "body", method="method")
-    return sf.run_to_table(out.select("event_id", "response", "replayed"), "replay")
+    return ordered(t, lambda rows, **timing: sf.replay_responses(
+        rows, ["ts", "event_id"], "ts", "path", "key", "body", method="method", status="status", **timing)
+        .select("event_id", "response", "replayed", "response_status"), *requests())
 
 
 @query("stream_routing", "ST-7", """
@@ -152,7 +160,7 @@ def _(t):
     _, users, items = view_inputs(t)
     created = sf.table_stream(t.spark, t.folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("status"))
-    return rt.project_orders(created, users, items).read().withColumn("total_amount", F.col("total_amount").cast("double"))
+    return rt.project_orders(created, users, items).withColumn("total_amount", F.col("total_amount").cast("double"))
 
 
 @query("outbox_round", "ST-9", """

@@ -53,13 +53,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete the tables this process wrote; results that read them must be stored first."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this process wrote."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables this process wrote, or those after the first ``since``; results that read them must be stored first."""
+    while len(_written) > since:
+        remove(spark, _written.pop())
+
+
+def scratch_mark() -> int:
+    """Number of tables written so far, for :func:`clear_scratch`."""
+    return len(_written)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -1,17 +1,17 @@
-"""Routing, read-model projection, outbox and fan-out."""
+"""Routing, read model, outbox and fan-out."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import dml
 from tessera.operators.joins import order_view
 from tessera.operators.ordering import order_names, top_per_key
-from tessera.session import cut_lineage, scratch_path
+from tessera.session import cut_lineage, remove, scratch_path
 from tessera.sources.sinks import write_batches
 from tessera.streaming.stateful import run_batches
 
@@ -51,77 +51,38 @@ def route_stream(stream: DataFrame, kind: str, known: Sequence[str]) -> tuple[Da
     return good, spark.read.schema(stream.schema).parquet(f"{path}/dead")
 
 
-class View:
-    """A table kept by upserts from micro-batches, merged when it is read.
-
-    A micro-batch appends its rows under its number; a repeated batch
-    overwrites its own. Reading takes the newest row of each key, and every
-    ``compact_every`` batches the merged table becomes the new base, so neither
-    a batch nor a read grows with the whole history.
-    """
-
-    def __init__(self, spark: SparkSession, schema: T.StructType, key: str, path: str | None = None,
-                 compact_every: int = 50):
-        self.spark, self.schema, self.key = spark, schema, key
-        self.path, self.compact_every = path or scratch_path(spark, "view"), compact_every
-        self.base, self.numbers = self._found() if path else (None, [])
-
-    def _found(self) -> tuple[str | None, list[int]]:
-        """Base and later batches that are completely written under the path, after a restart."""
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/*/_SUCCESS")
-        marks = path.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(path)
-        names = [m.getPath().getParent().getName().split("=") for m in marks]
-        bases = [int(n) for kind, n in names if kind == "base"]
-        last = max(bases, default=-1)
-        later = sorted(int(n) for kind, n in names if kind == "batch" and int(n) > last)
-        return (f"{self.path}/base={last}" if bases else None), later
-
-    def upsert(self, rows: DataFrame, number: int) -> None:
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
-        if number not in self.numbers:
-            self.numbers.append(number)
-        if len(self.numbers) >= self.compact_every:
-            merged = f"{self.path}/base={number}"
-            self.read().write.mode("overwrite").parquet(merged)
-            self.base, self.numbers = merged, []
-
-    def read(self) -> DataFrame:
-        parts = [(-1, self.base)] if self.base else []
-        parts += [(n, f"{self.path}/batch={n}") for n in self.numbers]
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
-        stacked = None
-        for n, folder in parts:
-            rows = self.spark.read.schema(self.schema).parquet(folder).withColumn("__n", F.lit(n))
-            stacked = rows if stacked is None else stacked.unionByName(rows)
-        if len(parts) == 1:
-            return stacked.drop("__n")
-        return top_per_key(stacked, [self.key], ["-__n"], 1).drop("__n", "rn")
-
-
 def project_orders(stream: DataFrame, users: DataFrame, items: DataFrame, path: str | None = None,
-                   newest: Sequence[str] = ()) -> View:
-    """Keep the order view up to date from a stream of created orders (ST-8).
+                   newest: Sequence[str] = ()) -> DataFrame:
+    """Keep the order view up to date from a stream of created orders, and read it (ST-8).
 
+    Every micro-batch is an upsert into the view, copied on write: batch ``n`` merges into version ``n - 1`` and
+    writes version ``n``, so a repeated batch gives the same version again, and the one before the last goes. A
+    batch costs as much as the view; a table format with MERGE would rewrite the files it touches only.
     Of several events of an order in one micro-batch the first by ``newest`` counts (such as
-    ``["-created_at"]``), ties by the other columns; a later micro-batch replaces an earlier one. With a ``path`` the view and the stream's progress live there and go on
-    after a restart.
+    ``["-created_at"]``), ties by the other columns; a later micro-batch replaces an earlier one. With a ``path``
+    the view and the stream's progress live there and go on after a restart.
     """
-    view = None
+    spark = stream.sparkSession
+    path = path or scratch_path(spark, "project")
+    shape = order_view(spark.createDataFrame([], stream.schema), users, items).schema
+
+    def version(number: int) -> DataFrame:
+        return spark.read.schema(shape).parquet(f"{path}/view/version={number}")
 
     def handle(batch: DataFrame, number: int) -> None:
-        nonlocal view
         rest = [c for c in batch.columns if c not in ("order_id", *order_names(newest))]
         rows = order_view(top_per_key(batch, ["order_id"], [*newest, *rest], 1).drop("rn"), users, items)
-        if view is None:
-            view = View(batch.sparkSession, rows.schema, "order_id", path and f"{path}/view")
-        view.upsert(rows, number)
-
-    run_batches(stream, handle, "project", path)
-    return view or View(stream.sparkSession, order_view(
-        stream.sparkSession.createDataFrame([], stream.schema), users, items).schema, "order_id",
-        path and f"{path}/view")
+        old = version(number - 1) if number else spark.createDataFrame([], shape)
+        dml.upsert(old, cut_lineage(rows), "order_id", shape.names)[0].write.mode("overwrite").parquet(
+            f"{path}/view/version={number}")
+        remove(spark, f"{path}/view/version={number - 2}")
+
+    run_batches(stream, handle, path=path)
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(f"{path}/view/version=*")
+    found = place.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(place)
+    numbers = [int(f.getPath().getName().split("=")[1]) for f in found or ()]  # two at most
+    return version(max(numbers)) if numbers else spark.createDataFrame([], shape)
 
 
 def outbox_round(outbox: DataFrame, now, limit: int = 100) -> tuple[DataFrame, DataFrame]:

@@ -78,7 +78,7 @@ def test_rows_without_a_time_or_item():
     state, out = limiter(None, 5)
     assert out == (True,) and limiter(state, None) == (state, (None,)) and limiter(state, nan) == (state, (None,))
     assert limiter(state, 6)[1] == (False,)
-    assert steps.replay_guard()(None, None, "body") == (None, (None, None))
+    assert steps.replay_guard()(None, None, "body") == (None, (None, None, None))
     assert steps.bucket_discrete(2, 1.0)(None, nan) == (None, (None,))
     assert steps.bucket_continuous(2, 1.0)(None, None) == (None, (None,))
     assert steps.ttl_cache(5)(3, None) == (3, (None,))

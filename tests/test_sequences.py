@@ -99,7 +99,7 @@ def test_newest_event_of_an_order(spark, tmp_path):
      .write.parquet(str(tmp_path / "in")))
     stream = spark.readStream.schema(kind).parquet(str(tmp_path / "in"))
     view = rt.project_orders(stream, users, items, newest=["-at"])
-    assert rows(view.read().select("order_id", "status")) == [(10, "sent")]
+    assert rows(view.select("order_id", "status")) == [(10, "sent")]
 
 
 def test_window_edge(spark):
@@ -177,18 +177,6 @@ def test_outbox(spark, tmp_path):
     assert left.filter("published_at IS NULL").count() == 0 and left.filter("published_at = 'old'").count() == 3
 
 
-@pytest.mark.parametrize("every", [2, 50])
-def test_view(spark, every, tmp_path):
-    schema = spark.createDataFrame([], "id int, v string").schema
-    path = str(tmp_path / "view")
-    view = rt.View(spark, schema, "id", path, compact_every=every)
-    assert view.read().count() == 0
-    for n, data in enumerate([[(1, "a"), (2, "a")], [(2, "b"), (3, "b")], [(1, "c")], [(1, "c")]]):
-        view.upsert(spark.createDataFrame(data, schema), min(n, 2))
-    assert rows(view.read()) == [(1, "c"), (2, "b"), (3, "b")]
-    assert rows(rt.View(spark, schema, "id", path).read()) == rows(view.read())
-
-
 def test_projection_goes_on_after_a_restart(spark, tmp_path):
     users = spark.createDataFrame([(1, "Ann")], "user_id int, user_name string")
     items = spark.createDataFrame([(10, 2.0), (11, 3.0)], "order_id int, amount double")
@@ -197,4 +185,79 @@ def test_projection_goes_on_after_a_restart(spark, tmp_path):
          .write.mode("append").parquet(str(tmp_path / "in")))
         stream = spark.readStream.schema("order_id int, user_id int, status string").parquet(str(tmp_path / "in"))
         view = rt.project_orders(stream, users, items, str(tmp_path / "out"))
-    assert rows(view.read().select("order_id", "total_amount")) == [(10, 2.0), (11, 3.0)]
+    assert rows(view.select("order_id", "total_amount")) == [(10, 2.0), (11, 3.0)]
+    again = rt.project_orders(stream, users, items, str(tmp_path / "out"))  # nothing new
+    assert rows(again) == rows(view)
+    assert len(list((tmp_path / "out/view").iterdir())) == 2
+
+
+def test_a_later_batch_replaces_orders(spark, tmp_path):
+    users = spark.createDataFrame([(1, "Ann")], "user_id int, user_name string")
+    items = spark.createDataFrame([(10, 2.0)], "order_id int, amount double")
+    for n, data in enumerate([[(10, "new"), (11, "new")], [(11, "paid"), (12, "new")], [(10, "sent")], []]):
+        (spark.createDataFrame([(i, 1, s) for i, s in data], "order_id int, user_id int, status string").coalesce(1)
+         .write.mode("append").parquet(str(tmp_path / "in")))
+        stream = spark.readStream.schema("order_id int, user_id int, status string").parquet(str(tmp_path / "in"))
+        view = rt.project_orders(stream, users, items, str(tmp_path / "out"))
+    assert rows(view.select("order_id", "status")) == [(10, "sent"), (11, "paid"), (12, "new")]
+
+
+@pytest.fixture()
+def shuffled(spark, calls, tmp_path):
+    """The calls in no order at all as four files, one per micro-batch, with one call that has no time."""
+    import os
+    mixed = random.Random(9).sample([*calls, ("a", 999, None, "none")], len(calls) + 1)
+    kind = "k string, id int, ts timestamp, body string"
+    for n in range(4):
+        out = str(tmp_path / f"in{n}")
+        spark.createDataFrame(mixed[n * 61:(n + 1) * 61], kind).coalesce(1).write.parquet(out)
+        for f in os.listdir(out):
+            if f.endswith(".parquet"):
+                os.utime(f"{out}/{f}", (1_700_000_000 + n, 1_700_000_000 + n))
+    options = {"recursiveFileLookup": True, "pathGlobFilter": "*.parquet"}
+    stream = spark.readStream.schema(kind).options(**options, maxFilesPerTrigger=1).parquet(str(tmp_path))
+    return stream, spark.read.schema(kind).options(**options).parquet(str(tmp_path))
+
+
+RULES = {
+    "sliding": ("allowed", lambda m, d, **t: m.limit_sliding(d, ["k"], ["ts", "id"], "ts", 3, 10, **t), True),
+    "bucket": ("allowed", lambda m, d, **t: m.limit_bucket(d, ["k"], ["ts", "id"], "ts", 4, 0.7, **t), False),
+    "wait": ("wait", lambda m, d, **t: m.wait_bucket(d, ["k"], ["ts", "id"], "ts", 4, 0.7, **t), True),
+}
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_rows_in_any_order_equal_the_batch(spark, shuffled, rule, tmp_path_factory):
+    stream, table = shuffled
+    name, run, ends = RULES[rule]
+    delay = sf.disorder(table, "ts")
+    path = str(tmp_path_factory.mktemp("run"))
+    out = sf.run_in_time(lambda beats: run(sf, stream, delay=delay, beats=beats), spark, path=path)
+    assert rows(out.select("id", name)) == rows(run(ss, table).select("id", name))
+
+    def state(variable):
+        return (spark.read.format("statestore").option("path", f"{path}/log").option("stateVarName", variable).load()
+                .count())
+
+    assert state("held") == 0
+    assert state("rule") == (0 if ends else 3)  # an unused bucket of the discrete kind is never like a new one
+
+
+def test_responses_in_any_order_equal_the_batch(spark, shuffled):
+    stream, table = shuffled
+    code = (F.col("id") % 3 + 200).alias("code"), F.upper("k").alias("p")
+    delay = sf.disorder(table, "ts")
+    out = sf.run_in_time(lambda beats: sf.replay_responses(
+        stream.select("*", *code), ["ts", "id"], "ts", "p", "k", "body", 20, status="code", delay=delay, beats=beats), spark)
+    want = ss.replay_responses(table.select("*", *code, F.lit("POST").alias("m")), [], ["ts", "id"], "ts", "m", "p", "k", "body", 20,
+                               status="code")
+    names = ["id", "response", "replayed", "response_status"]
+    assert rows(out.select(*names)) == rows(want.select(*names))
+    assert out.filter("replayed AND response_status IS NULL").count() == 0
+
+
+def test_late_rows_only_beyond_the_delay(spark, shuffled):
+    stream, table = shuffled
+    out = sf.run_in_time(lambda beats: sf.limit_sliding(stream, ["k"], ["ts", "id"], "ts", 3, 10, delay="0 seconds",
+                                                        beats=beats), spark)
+    assert 0 < out.count() < table.count()
