@@ -260,6 +260,65 @@ def _scan(columns: list[str], keys: list[str], uses: list[str], step: Callable,
     return run
 
 
+def _summaries(keys: list[str], uses: list[str], step: Callable) -> Callable:
+    """Batch function that walks each block from every entry its rule can have, as ``[[entry, exit], ...]``.
+
+    Entries whose states have become equal are walked as one from then on.
+    """
+
+    def merged(walks):
+        by_state = {}
+        for names, state in walks:
+            by_state.setdefault(json.dumps(state, sort_keys=True), ([], state))[0].extend(names)
+        return list(by_state.values())
+
+    def said(ident, walks):
+        pairs = [[name, state] for names, state in walks for name in names]
+        return (*ident, json.dumps(pairs))
+
+    def run(batches):
+        current, walks, walked = None, [], 0
+        for pdf in batches:
+            ids = list(zip(*[pdf[c].astype(object).where(pdf[c].notna(), None) for c in (*keys, "__block")]))
+            done = []
+            for ident, values in zip(ids, zip(*[pdf[c] for c in uses])):
+                if ident != current:
+                    if current is not None:
+                        done.append(said(current, merged(walks)))
+                    current, walked = ident, 0
+                    walks = [([name], state) for name, state in step.entries]
+                walks = [(names, step(state, *values)[0]) for names, state in walks]
+                walked += 1
+                if len(walks) > 1 and walked % 64 == 0:
+                    walks = merged(walks)
+            if done:
+                yield pd.DataFrame(done, columns=[*keys, "__block", "__sum"])
+        if current is not None:
+            yield pd.DataFrame([said(current, merged(walks))], columns=[*keys, "__block", "__sum"])
+
+    return run
+
+
+def _entries(keys: list[str], step: Callable) -> Callable:
+    """Batch function that goes along the blocks of a key, from summary to summary, to the state each is entered with."""
+
+    def run(batches):
+        current, state, known = object(), None, True
+        for pdf in batches:
+            ids = list(zip(*[pdf[c].astype(object).where(pdf[c].notna(), None) for c in keys])) if keys else [()] * len(pdf)
+            out = []
+            for ident, block, pairs in zip(ids, pdf["__block"], pdf["__sum"]):
+                if ident != current:
+                    current, state, known = ident, None, True
+                out.append((*ident, block, None if state is None else json.dumps(state, sort_keys=True), known))
+                found = dict(json.loads(pairs)).get(step.entry_of(state)) if known else None
+                known = known and found is not None
+                state = step.fill(found, state) if known else None
+            yield pd.DataFrame(out, columns=[*keys, "__block", "__entry", "__known"])
+
+    return run
+
+
 def fold_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], uses: Sequence[str],
               step: Callable, adds: str, hot_rows: int | None = None,
               block_rows: int | None = None) -> DataFrame:
@@ -270,13 +329,14 @@ def fold_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], uses: Se
     the next state and a tuple for the columns declared in ``adds`` (a DDL
     string).
 
-    Ordinary keys are sorted inside their partitions and walked batch by
-    batch, holding one state in memory. A hot key is cut into blocks that are
-    walked in parallel, each from a supposed entry state (at first the empty
-    one). Blocks whose supposed entry differs from the exit of the block before
-    are walked again until nothing changes. The first block is right from the
-    start and each round settles at least one more, so the result is exact;
-    states that forget their start settle in a few rounds.
+    Ordinary keys are sorted inside their partitions and walked batch by batch, holding one state in memory. A
+    hot key is cut into blocks that are walked in parallel. If the step names the entries it can have
+    (``entries``, ``entry_of``, ``fill``, see :mod:`tessera.operators.steps`), a block is a map from entry to
+    exit: one pass makes the maps, one row a block goes from map to map, and a second pass walks the rows from
+    the states found, whatever the number of blocks. Other rules are walked from a supposed entry state (at
+    first the empty one); blocks whose supposed entry differs from the exit of the block before are walked again
+    until nothing changes. The first block is right from the start and each round settles at least one more, so
+    the result is exact; states that forget their start settle in a few rounds.
     """
     keys, uses = list(keys), list(uses)
     columns = df.columns
@@ -295,9 +355,25 @@ def fold_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], uses: Se
     if cold is not None:
         cold = walk(cold.withColumn("__block", F.lit(0).cast("bigint"))
                         .withColumn("__entry", F.lit(None).cast("string")))
-    if hot is not None:
+    def kinds(*more: T.StructField) -> T.StructType:
+        return T.StructType([*[df.schema[k] for k in keys], T.StructField("__block", T.LongType()), *more])
+
+    def composed(rows: DataFrame) -> DataFrame | None:
+        """Entry state of each block by its maps; None if the rule has none or a state beyond them turned up."""
+        if not hasattr(step, "entries"):
+            return None
+        by = [*keys, "__block"]
+        maps = (rows.repartition(*by).sortWithinPartitions(*by, *sort_columns(order))
+                .mapInPandas(_summaries(keys, uses, step), kinds(T.StructField("__sum", T.StringType()))))
+        maps = cut_lineage(maps)
+        lined = maps.repartition(*keys) if keys else maps.coalesce(1)
+        found = cut_lineage(lined.sortWithinPartitions(*by).mapInPandas(_entries(keys, step), kinds(
+            T.StructField("__entry", T.StringType()), T.StructField("__known", T.BooleanType()))))
+        return None if found.filter("NOT __known").take(1) else found.drop("__known")
+
+    def by_rounds(rows: DataFrame) -> DataFrame:
+        """Entry state of each block by walking blocks again whose entry was wrong."""
         by = [*keys, "__block"]
-        rows = cut_lineage(_blocked(hot, keys, order, block_rows or BLOCK_ROWS).drop("__pos"))
         nothing = F.lit(None).cast("string")
         used = rows.select(*by).distinct().withColumn("__entry", nothing)
         exits = cut_lineage(walk(rows.withColumn("__entry", nothing), exits_only=True))
@@ -310,10 +386,16 @@ def fold_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], uses: Se
             dirty = wanted.filter("__stale").select(*by, F.col("__next").alias("__entry"))
             used = wanted.select(*by, F.col("__next").alias("__entry"))
             if not dirty.take(1):
-                break
+                return used
             again = join_on_keys(rows, F.broadcast(dirty), by, "inner")
             redone = walk(again, exits_only=True).withColumnRenamed("__exit", "__new")
             exits = cut_lineage(join_on_keys(exits, redone, by)
                                 .select(*by, F.coalesce("__new", "__exit").alias("__exit")))
-        hot = walk(join_on_keys(rows, F.broadcast(used), by))
+
+    if hot is not None:
+        rows = cut_lineage(_blocked(hot, keys, order, block_rows or BLOCK_ROWS).drop("__pos"))
+        entered = composed(rows)
+        if entered is None:
+            entered = by_rounds(rows)
+        hot = walk(join_on_keys(rows, F.broadcast(entered), [*keys, "__block"]))
     return _either(cold, hot)

@@ -3,6 +3,11 @@
 Each factory returns a ``step(state, *values)`` for :func:`fold_rows` in batch
 and for the stateful stream of :mod:`tessera.streaming.stateful`. Times are
 whole microseconds; a state is anything JSON can hold, ``None`` at first.
+
+A step whose states have few shapes may name them, so that blocks of a hot key become maps that compose:
+``entries`` lists ``(name, state)`` of the states a block can be entered with, with marks in place of values;
+``entry_of(state)`` is the name of a state (``None`` if no entry stands for it); ``fill(exit, state)`` puts the
+values of the entered state in place of the marks.
 """
 
 from __future__ import annotations
@@ -21,9 +26,16 @@ def machine(transitions: dict[tuple[str, str], str], initial: str) -> Callable:
         then = table.get(f"{now}\u0000{event}")
         return (now, (False, now)) if then is None else (then, (True, then))
 
+    step.entries = [(s, s) for s in sorted({initial, *transitions.values(), *[a for a, _ in transitions]})]
+    step.entry_of = lambda state: initial if state is None else state
+    step.fill = lambda found, state: found
     return step
 
 
+#: Longest history whose blocks are composed; the number of shapes grows as its square.
+COMPOSED_HISTORY = 20
+
+
 def undo_redo(max_history: int = 10) -> Callable:
     """Editor history: execute, undo and redo over two stacks (G-5)."""
 
@@ -39,6 +51,28 @@ def undo_redo(max_history: int = 10) -> Callable:
             history, current, redo = (history + [current])[-max_history:], redo[-1], redo[:-1]
         return [history, redo, current], (current,)
 
+    def entry_of(state):
+        """Lengths of both stacks; a stack that holds NULL has no entry, since NULL is not pushed like a value."""
+        history, redo, current = ([], [], None) if state is None else state
+        if current is None:
+            return "none" if not history and not redo else None
+        return None if None in history or None in redo else f"{len(history)},{len(redo)}"
+
+    def fill(found, state):
+        places = dict(zip("hrc", ([], [], [None]) if state is None else (state[0], state[1], [state[2]])))
+
+        def value(x):
+            return places[x[0]][x[1]] if isinstance(x, list) else x
+
+        return [[value(x) for x in found[0]], [value(x) for x in found[1]], value(found[2])]
+
+    def shape(h, r):
+        return [[["h", i] for i in range(h)], [["r", i] for i in range(r)], ["c", 0]]
+
+    if max_history <= COMPOSED_HISTORY:  # both stacks together hold max_history values at most
+        step.entries = [("none", None)] + [(f"{h},{r}", shape(h, r)) for h in range(max_history + 1)
+                                           for r in range(max_history + 1 - h)]
+        step.entry_of, step.fill = entry_of, fill
     return step
 
 

@@ -102,6 +102,12 @@ def _(t):
                              block_rows=1000).select("event_id", "ok", "state")
 
 
+def edits(t):
+    """Events as edits: errors undo, sign-ups redo, the others set a new state."""
+    op = F.when(F.col("event_type") == "error", "undo").when(F.col("event_type") == "signup", "redo").otherwise("execute")
+    return t.events.select("user_id", "event_id", "ts", op.alias("op"), F.col("event_id").cast("string").alias("state"))
+
+
 @query("replay_edits", "G-5", _N + """
 s AS (SELECT user_id, event_id, p, []::VARCHAR[] AS h, []::VARCHAR[] AS rd, CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(event_id AS VARCHAR) END AS cur FROM n WHERE p = 1
  UNION ALL SELECT n.user_id, n.event_id, n.p,
@@ -115,9 +121,25 @@ s AS (SELECT user_id, event_id, p, []::VARCHAR[] AS h, []::VARCHAR[] AS rd, CASE
  FROM s JOIN n ON n.user_id = s.user_id AND n.p = s.p + 1)
 SELECT event_id, cur AS current FROM s""")
 def _(t):
-    op = F.when(F.col("event_type") == "error", "undo").when(F.col("event_type") == "signup", "redo").otherwise("execute")
-    rows = t.events.select("user_id", "event_id", "ts", op.alias("op"), F.col("event_id").cast("string").alias("state"))
-    return ss.replay_edits(rows, ["user_id"], ["ts", "event_id"], "op", "state").select("event_id", "current")
+    return ss.replay_edits(edits(t), ["user_id"], ["ts", "event_id"], "op", "state").select("event_id", "current")
+
+
+@query("replay_edits_hot_key", "G-5", _N + """
+g AS (SELECT event_id, event_type, row_number() OVER (ORDER BY ts, event_id) AS p FROM events),
+s AS (SELECT event_id, p, []::VARCHAR[] AS h, []::VARCHAR[] AS rd, CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(event_id AS VARCHAR) END AS cur FROM g WHERE p = 1
+ UNION ALL SELECT g.event_id, g.p,
+ CASE WHEN g.event_type NOT IN ('error', 'signup') THEN CASE WHEN s.cur IS NOT NULL THEN list_append(s.h, s.cur)[-10:] ELSE s.h END
+      WHEN g.event_type = 'error' AND len(s.h) > 0 THEN s.h[:-2]
+      WHEN g.event_type = 'signup' AND len(s.rd) > 0 THEN list_append(s.h, s.cur)[-10:] ELSE s.h END,
+ CASE WHEN g.event_type NOT IN ('error', 'signup') THEN [] WHEN g.event_type = 'error' AND len(s.h) > 0 THEN list_append(s.rd, s.cur)
+      WHEN g.event_type = 'signup' AND len(s.rd) > 0 THEN s.rd[:-2] ELSE s.rd END,
+ CASE WHEN g.event_type NOT IN ('error', 'signup') THEN CAST(g.event_id AS VARCHAR) WHEN g.event_type = 'error' AND len(s.h) > 0 THEN s.h[-1]
+      WHEN g.event_type = 'signup' AND len(s.rd) > 0 THEN s.rd[-1] ELSE s.cur END
+ FROM s JOIN g ON g.p = s.p + 1)
+SELECT event_id, cur AS current FROM s""")
+def _(t):
+    rows = edits(t).withColumn("k", F.lit("all"))
+    return ss.replay_edits(rows, ["k"], ["ts", "event_id"], "op", "state", hot_rows=1000, block_rows=500).select("event_id", "current")
 
 
 @query("cache_with_expiry", "E-13", _N + """
