@@ -70,14 +70,15 @@ def hybrid_rank(index: KeywordIndex, vectors: DataFrame, query: str, query_vecto
 
 def staged_search(index: ClusteredLists, query_vector: Sequence[float], where: Column, candidates: int, k: int,
                   rerank: Callable[[pd.DataFrame], pd.Series] | None = None, rules: dict[str, Column] | None = None,
-                  nprobe: int = 10) -> DataFrame:
-    """Filter, approximate search, exact re-rank, optional model score, business rules (V-13).
+                  nprobe: int | None = None) -> DataFrame:
+    """Filter, search of the index, exact re-rank, optional model score, business rules (V-13).
 
-    ``rerank`` gets a frame with the key and the exact distance of each
-    candidate and returns a score, higher is better; ``rules`` add columns,
-    and a boolean rule named ``keep`` drops rows.
+    With ``nprobe`` the search reads so many lists and is approximate; without it is exact. ``rerank`` gets a frame
+    with the key and the exact distance of each candidate and returns a score, higher is better; ``rules`` add
+    columns, and a boolean rule named ``keep`` drops rows.
     """
-    found = index.search(query_vector, candidates, nprobe, where)
+    found = (index.search_exact(query_vector, candidates, where) if nprobe is None
+             else index.search(query_vector, candidates, nprobe, where))
     if rerank is not None:
         @F.pandas_udf("double")
         def score(rows: pd.DataFrame) -> pd.Series:

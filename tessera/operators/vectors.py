@@ -145,44 +145,103 @@ def nearest_each(df: DataFrame, queries: DataFrame, key: str, vector: str, k: in
 
 
 class ClusteredLists:
-    """Vectors stored by nearest centre, searched a few lists at a time (V-9)."""
+    """Vectors stored by nearest centre, with their distance to it, searched a few lists at a time (V-9)."""
 
     def __init__(self, table: DataFrame, centres: list[list[float]], key: str, vector: str):
         self.table, self.centres, self.key, self.vector = table, centres, key, vector
+        self._spans: dict[int, tuple[float, float, int]] | None = None
 
     @classmethod
     def build(cls, df: DataFrame, key: str, vector: str, lists: int = 100, seed: int = 7,
               sample_rows: int | None = None, path: str | None = None) -> ClusteredLists:
         """Learn centres on a sample of ``sample_rows`` (256 a list by default), assign all rows, write one folder per list.
 
-        Vectors without a direction (NULL or zero) are kept in list -1, which every search reads.
+        Rows of a list are sorted by their distance to its centre, so a search reads the row groups between two
+        distances. Vectors without a direction (NULL or zero) are kept in list -1, which every search reads.
         """
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.functions import array_to_vector
 
         spark = df.sparkSession
         points = F.coalesce(magnitude(F.col(vector)) > 0, F.lit(False))
-        usable = df.filter(points)
-        featured = usable.withColumn("__f", array_to_vector(normalise(F.col(vector))))
+        usable = df.filter(points).withColumn("__unit", normalise(F.col(vector)))
+        featured = usable.withColumn("__f", array_to_vector("__unit"))
         total, wanted = usable.count(), sample_rows or 256 * lists
         sample = featured.select("__f")
         if total > wanted:
             sample = sample.sample(fraction=min(1.0, wanted / total), seed=seed)
         model = KMeans(k=lists, seed=seed, featuresCol="__f", predictionCol="list_id", maxIter=10).fit(sample)
         path = path or scratch_path(spark, "lists")
-        # Rebalancing splits a list that holds much of the data and merges small ones.
-        listed = model.transform(featured).drop("__f").unionByName(df.filter(~points).withColumn("list_id", F.lit(-1)))
-        listed.hint("rebalance", F.col("list_id")).write.partitionBy("list_id").parquet(path)
         centres = [[float(x) for x in c] for c in model.clusterCenters()]
+        centre = F.get(F.lit(centres), F.col("list_id"))
+        # Rebalancing splits a list that holds much of the data and merges small ones.
+        listed = (model.transform(featured).withColumn("centre_gap", l2_distance(F.col("__unit"), centre))
+                  .drop("__f", "__unit").unionByName(df.filter(~points).withColumns(
+                      {"list_id": F.lit(-1), "centre_gap": F.lit(None).cast("double")})))
+        (listed.hint("rebalance", F.col("list_id")).sortWithinPartitions("list_id", "centre_gap")
+         .write.partitionBy("list_id").parquet(path))
         return cls(spark.read.parquet(path), centres, key, vector)
 
-    def probe(self, query: Sequence[float], nprobe: int) -> DataFrame:
-        """Rows of the lists nearest to the query; other lists are not read."""
+    def _from_centres(self, query: Sequence[float]) -> list[float] | None:
+        """Distance of the query's direction to each centre; None if it has no direction."""
         length = sum(x * x for x in query) ** 0.5
+        if not length:
+            return None
         unit = [x / length for x in query]
-        gap = [sum((a - b) ** 2 for a, b in zip(unit, c)) for c in self.centres]
+        return [sum((a - b) ** 2 for a, b in zip(unit, c)) ** 0.5 for c in self.centres]
+
+    def probe(self, query: Sequence[float], nprobe: int) -> DataFrame:
+        """Rows of the lists nearest to the query; other lists are not read. A zero query has no nearest list: all rows."""
+        gap = self._from_centres(query)
+        if gap is None:
+            return self.table
         chosen = sorted(range(len(gap)), key=gap.__getitem__)[:nprobe]
         return self.table.filter(F.col("list_id").isin(-1, *chosen))
 
     def search(self, query: Sequence[float], k: int, nprobe: int = 10, where: Column | None = None) -> DataFrame:
-        return nearest(self.probe(query, nprobe), query, self.key, self.vector, k, where=where).drop("list_id")
+        """Approximate: the k nearest rows of ``nprobe`` lists."""
+        return self._best(self.probe(query, nprobe), query, k, where)
+
+    def _best(self, rows: DataFrame, query, k, where) -> DataFrame:
+        return nearest(rows, query, self.key, self.vector, k, where=where).drop("list_id", "centre_gap")
+
+    def spans(self) -> dict[int, tuple[float, float, int]]:
+        """Least and greatest distance to the centre and number of rows of each list; one row a list, read once."""
+        if self._spans is None:
+            found = (self.table.filter("list_id >= 0").groupBy("list_id")
+                     .agg(F.min("centre_gap"), F.max("centre_gap"), F.count(F.lit(1))).collect())
+            self._spans = {row[0]: (row[1], row[2], row[3]) for row in found}
+        return self._spans
+
+    def candidates(self, query: Sequence[float], k: int, where: Column | None = None) -> tuple[DataFrame, list[int]]:
+        """Rows that hold the k nearest, and the lists they are read from.
+
+        The nearest lists that hold ``k`` rows together give a k-th distance. On the unit sphere a cosine distance
+        ``d`` is a straight one of ``t = sqrt(2 d)``, and by the triangle inequality a row whose distance to its
+        centre differs by more than ``t`` from the query's cannot be nearer. So only lists whose span of distances
+        comes that close are read, and of each only the rows in between, which lie together in its files. With
+        fewer than ``k`` rows found all rows are read.
+        """
+        gap = self._from_centres(query)
+        spans = self.spans()
+        if gap is None:
+            return self.table, [-1, *spans]
+        first, held = [], 0
+        for i in sorted(spans, key=lambda i: gap[i]):
+            first.append(i)
+            held += spans[i][2]
+            if held >= k:
+                break
+        near = self._best(self.table.filter(F.col("list_id").isin(first)), query, k, where).select("distance").collect()
+        if len(near) < k:
+            return self.table, [-1, *spans]
+        t = (2 * max(0.0, max(row[0] for row in near))) ** 0.5 + 1e-6  # above the rounding of both distances
+        chosen = [i for i, (low, high, _) in spans.items() if low - t <= gap[i] <= high + t]
+        inside = F.lit(False)
+        for i in chosen:
+            inside = inside | ((F.col("list_id") == i) & F.col("centre_gap").between(gap[i] - t, gap[i] + t))
+        return self.table.filter(inside), chosen
+
+    def search_exact(self, query: Sequence[float], k: int, where: Column | None = None) -> DataFrame:
+        """The k nearest rows of all, as :func:`nearest` gives them, from the lists and rows that can hold them."""
+        return self._best(self.candidates(query, k, where)[0], query, k, where)

@@ -13,10 +13,6 @@ _Q = "(SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)"
 _E = "CAST(embedding AS DOUBLE[])"
 
 
-#: Lists of the 16 that a search reads; for recalls of at least 0.9 of 10 nearest and of 50 filtered candidates.
-NPROBE = 12
-
-
 def q0(t):
     return vc.vector_of(t.embeddings, "vec_id", "embedding", 0)
 
@@ -108,9 +104,9 @@ def lists_of(t, lists=16):
     return vc.ClusteredLists.build(t.embeddings, "vec_id", "embedding", lists=lists)
 
 
-@query("clustered_nearest", "V-9")
+@query("clustered_nearest", "V-9", _KNN.format(where="true", k=10))
 def _(t):
-    return lists_of(t).search(q0(t), 10, nprobe=NPROBE).withColumn("distance", r("distance"))
+    return lists_of(t).search_exact(q0(t), 10).withColumn("distance", r("distance"))
 
 
 @query("clustered_nearest_all_lists", "V-9", _KNN.format(where="true", k=10))
@@ -189,9 +185,12 @@ def _(t):
     return ranked.select("doc_id", *[r(c).alias(c) for c in ("keyword_score", "closeness", "hybrid")])
 
 
-@query("staged_search", "V-13")
+@query("staged_search", "V-13", f"""
+SELECT vec_id, label, label = 2 AS featured, round(1 - d, 6) AS rank_score FROM (SELECT vec_id, label, d FROM
+ (SELECT vec_id, label, 1 - list_cosine_similarity({_E}, {_Q}) AS d FROM embeddings WHERE label IN (0, 1, 2, 3, 4) ORDER BY d, vec_id LIMIT 50)
+ WHERE d < 0.9 ORDER BY d, vec_id LIMIT 10)""")
 def _(t):
     out = se.staged_search(lists_of(t), q0(t), F.col("label").isin(0, 1, 2, 3, 4), 50, 10,
                            rerank=lambda rows: 1.0 - rows["distance"],
-                           rules={"featured": F.col("label") == 2, "keep": F.col("distance") < 2.0}, nprobe=NPROBE)
+                           rules={"featured": F.col("label") == 2, "keep": F.col("distance") < 0.9})
     return out.select("vec_id", "label", "featured", r("rank_score").alias("rank_score"))

@@ -59,17 +59,22 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def clear_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Delete the tables this process wrote, or those after the first ``since``; results that read them must be stored first."""
-    while len(_written) > since:
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables this process wrote; results that read them must be stored first."""
+    while _written:
         remove(spark, _written.pop())
 
 
 def scratch_mark() -> int:
-    """Number of tables written so far, for :func:`clear_scratch`."""
+    """Number of tables written so far, for :func:`scratch_since`."""
     return len(_written)
 
 
+def scratch_since(mark: int) -> list[str]:
+    """Paths of the tables written since the mark."""
+    return _written[mark:]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
