@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.arrays import pieces
 from tessera.llm.repeats import Windows, cover_mask, repeated_spans, text_key
+from tessera.llm.tables import broadcast_if_small
 
 
 def difference_cover(order: int) -> tuple[int, tuple[int, ...]]:
@@ -90,6 +91,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     names = carry or ["doc_id"]
     plan = windows_plan(length)
     spans = repeated_spans(docs, text, plan, **options)
+    size = F.aggregate("__spans", F.lit(16), lambda n, part: n + F.octet_length(part) + 16)
+    spans = broadcast_if_small(spans, size)
     keyed = docs.select(*[F.col(n) for n in names], F.col(text).alias("__text"), *text_key(F.col(text)))
     joined = keyed.join(spans, ["__k1", "__k2"], "left").select(*names, "__text", "__spans")
     schema = T.StructType([*[docs.schema[n] for n in names], T.StructField("n_bytes", T.LongType()),

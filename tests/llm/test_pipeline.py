@@ -24,7 +24,7 @@ def test_query(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] and set(ORACLES) <= set(QUERIES)
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] and set(ORACLES) <= set(QUERIES)
 
 
 @present
@@ -50,14 +50,15 @@ def test_stages(spark, tmp_path):
             assert any(close(s, o) for j, o in sets.items() if j != i)
     assert not any(close(sets[i], sets[j]) for i in stay for j in stay if i < j)
     assert {r["doc_id"] for r in third} <= stay
-    seen = Counter(r["text"].encode()[i:i + 400] for r in second for i in range(len(r["text"].encode()) - 399))
+    n = corpus_pipeline.PASSAGE
+    seen = Counter(r["text"].encode()[i:i + n] for r in second for i in range(len(r["text"].encode()) - n + 1))
     before = {r["doc_id"]: r["text"] for r in second}
     for r in third:
         body = before[r["doc_id"]].encode()
         gone = bytearray(len(body))
-        for i in range(len(body) - 399):
-            if seen[body[i:i + 400]] > 1:
-                gone[i:i + 400] = b"\x01" * 400
+        for i in range(len(body) - n + 1):
+            if seen[body[i:i + n]] > 1:
+                gone[i:i + n] = b"\x01" * n
         assert r["text"] == bytes(b for b, g in zip(body, gone) if not g).decode("utf-8", "ignore")
         assert r["n_chars"] == len(r["text"])
     assert all(n <= 3 for n in Counter(r["doc_id"] for r in fourth).values())
@@ -104,3 +105,36 @@ def test_mix_takes_each_row_by_itself(spark):
     assert got == +want
     rows = Counter((i, len(t.split()), s) for i, t, s in given)
     assert all(n <= 3 * rows[k] for k, n in got.items())
+
+
+def test_tables_of_the_stage_before_go(spark):
+    """Each stage deletes what its predecessor left; what others wrote in the session stays."""
+    from tessera import session
+
+    docs = make(spark, [sentence(i, 60) for i in range(8)])
+    mine = session.cut_lineage(docs)
+    kept = mine
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        kept = session.cut_lineage(stage(spark, kept, FOLDER))
+        left = list(corpus_pipeline._left)
+        assert left and all(Path(p.removeprefix("file:")).exists() for p in left)
+        before = left
+    corpus_pipeline.STAGES[4][1](spark, kept, FOLDER)
+    assert not any(Path(p.removeprefix("file:")).exists() for p in before)
+    assert mine.count() == 8 and kept.count() >= 0
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 25])
+def test_decisions_meet_texts_either_way(spark, monkeypatch, tmp_path, limit):
+    """The same rows whether decisions are broadcast or shuffled."""
+    from tessera.llm import tables
+
+    monkeypatch.setattr(tables.broadcast_if_small, "__defaults__", (limit,))
+    a, b = sentence(31, 150), sentence(32, 150)
+    docs = make(spark, [a, a, b, b + " x", a[:500] + " " + sentence(33, 80), None, ""])
+    docs.write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    kept = corpus_pipeline.keep_one_of_group(spark, docs, FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4, 5, 6]
+    cut = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs.filter("doc_id IN (0, 4, 5)"), FOLDER).collect()}
+    assert cut[5] is None and a[:500] not in cut[4] and cut[0] == a[500:]
