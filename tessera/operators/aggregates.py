@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import _either, _number_by_range, join_on_keys, list_parts, split_hot, top_per_key
+from tessera.operators.ordering import _either, join_on_keys, list_parts, split_hot, top_per_key, weighted_places
+from tessera.session import cut_lineage
 
 # Words left out of the content-word count.
 STOP_WORDS = ["the", "is", "and", "with", "are", "a", "an", "in", "on", "at"]
@@ -36,32 +37,48 @@ def percentile_exact(df: DataFrame, keys: Sequence[str], value: str, p: float, n
                      hot_rows: int | None = None) -> DataFrame:
     """Interpolated percentile per key (G-A3).
 
-    Spark's own aggregate keeps every distinct value of a group in one buffer.
-    Groups above ``hot_rows`` are range-sorted instead, and only the one or
-    two rows at the wanted rank are read.
+    Spark's own aggregate keeps every distinct value of a group in one buffer. For groups above ``hot_rows`` rows
+    are counted per value, equal ones before the shuffle, and the one or two values at the wanted rank are read
+    off the prefix sums of the counts.
     """
     rows = df.select(*keys, value).filter(F.col(value).isNotNull())
     cold, hot, _ = split_hot(rows, keys, hot_rows)
     if cold is not None:
         cold = cold.groupBy(*keys).agg(F.percentile(value, p).alias(name))
     if hot is not None:
-        placed = _number_by_range(hot, keys, [value], "__pos")
-        sizes = placed.groupBy(*keys).agg(F.max("__pos").alias("__n"))
-        at = (F.col("__n") - 1) * p + 1
-        low, share = F.floor(at), at - F.floor(at)
-        near = join_on_keys(placed, F.broadcast(sizes), keys).filter(
-            (F.col("__pos") == F.floor(at)) | (F.col("__pos") == F.ceil(at)))
-        weight = F.when(F.col("__pos") == low, F.lit(1.0) - share).otherwise(share)
-        hot = near.groupBy(*keys).agg(F.sum(F.col(value) * weight).alias(name))
+        hot = _percentile_of_places(hot, keys, value, p, name, hot_rows)
     return _either(cold, hot)
 
 
+def _percentile_of_places(hot: DataFrame, keys: Sequence[str], value: str, p: float, name: str,
+                          hot_rows: int | None) -> DataFrame:
+    places = cut_lineage(weighted_places(hot, keys, [value], hot_rows))
+    sizes = places.groupBy(*keys).agg(F.sum("weight").alias("__n"))  # one row for each hot key
+    at = (F.col("__n") - 1) * p + 1
+    low, share = F.floor(at), at - F.floor(at)
+
+    def holds(rank):
+        return (F.col("upto") >= rank) & (F.col("upto") - F.col("weight") < rank)
+
+    part = F.when(holds(low), 1 - share).otherwise(0.0) + F.when(holds(low + 1), share).otherwise(0.0)
+    near = join_on_keys(places, F.broadcast(sizes), keys).filter(holds(low) | (holds(low + 1) & (share > 0)))
+    return near.groupBy(*keys).agg(F.sum(F.col(value) * part).alias(name))
+
+
 def latency_stats(df: DataFrame, keys: Sequence[str], value: str, hot_rows: int | None = None) -> DataFrame:
-    """Count, total, mean, extremes and median per key (G-A19)."""
-    stats = df.groupBy(*keys).agg(
-        F.count(value).alias("calls"), F.sum(value).alias("total_time"), F.avg(value).alias("avg_time"),
-        F.min(value).alias("min_time"), F.max(value).alias("max_time"))
-    return join_on_keys(stats, percentile_exact(df, keys, value, 0.5, "median_time", hot_rows), keys)
+    """Count, total, mean, extremes and median per key (G-A19): one pass, and the median of hot keys by their counts."""
+    def stats(rows, *more):
+        return rows.groupBy(*keys).agg(
+            F.count(value).alias("calls"), F.sum(value).alias("total_time"), F.avg(value).alias("avg_time"),
+            F.min(value).alias("min_time"), F.max(value).alias("max_time"), *more)
+
+    cold, hot, _ = split_hot(df.select(*keys, value), keys, hot_rows)
+    if cold is not None:
+        cold = stats(cold, F.percentile(value, 0.5).alias("median_time"))
+    if hot is not None:
+        median = _percentile_of_places(hot.filter(F.col(value).isNotNull()), keys, value, 0.5, "median_time", hot_rows)
+        hot = join_on_keys(stats(hot), F.broadcast(median), keys)  # one row for each hot key
+    return _either(cold, hot)
 
 
 def text_profile(df: DataFrame, keys: Sequence[str], text: str, top: int = 5) -> tuple[DataFrame, DataFrame]:

@@ -82,10 +82,12 @@ def _number_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], n
     """Position within the key for groups too large for one task.
 
     The range sort is written out before it is counted: its bounds come from a
-    sample, so a second run could place rows differently.
+    sample, so a second run could place rows differently. Rows equal in the order
+    are told apart by their place in the input, so ties are split between tasks too.
     """
-    sort = [F.asc_nulls_last(k) for k in keys] + sort_columns(order)
-    ranged = cut_lineage(df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    sort = [*[F.asc_nulls_last(k) for k in keys], *sort_columns(order), F.asc("__tie")]
+    df = df.withColumn("__tie", F.monotonically_increasing_id())
+    ranged = cut_lineage(df.repartitionByRange(*sort).sortWithinPartitions(*sort).drop("__tie")
                            .withColumn("__id", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("__part", F.shiftright("__id", 33))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,12 +124,27 @@ def rank_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
         cold = cold.withColumn(name, F.rank().over(w).cast("bigint"))
     if hot is not None:
         by = [*keys, *order_names(order)]
-        numbered = _number_by_range(hot, keys, order, "__pos")
-        first = numbered.groupBy(*by).agg(F.min("__pos").alias(name))
-        hot = join_on_keys(numbered.drop("__pos"), first, by)
+        limit = HOT_ROWS if hot_rows is None else hot_rows
+        ranks = cut_lineage(weighted_places(hot, keys, order, hot_rows).select(
+            *by, "weight", (F.col("upto") - F.col("weight") + 1).alias(name)))
+        # a value with very many rows meets its rank without a shuffle; there are at most rows / limit of them
+        heavy = F.broadcast(ranks.filter(F.col("weight") > limit).select(*by, name))
+        light = ranks.filter(F.col("weight") <= limit).select(*by, name)
+        hot = join_on_keys(hot, heavy, by, "inner").unionByName(
+            join_on_keys(hot.join(heavy, same_keys(hot, heavy, by), "left_anti"), light, by, "inner"))
     return _either(cold, hot)
 
 
+def weighted_places(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """The keys, each distinct value of the order columns, its ``weight`` in rows, and ``upto``, the rows up to it.
+
+    Rows are counted per value before the shuffle, so a value that most rows share is one row; the weights'
+    prefix sums run over distinct values and split keys that have very many.
+    """
+    counts = cut_lineage(df.groupBy(*keys, *order_names(order)).agg(F.count(F.lit(1)).alias("weight")))
+    return running_over(counts, keys, order, {"upto": ("sum", "weight")}, hot_rows)
+
+
 def _blocked(hot: DataFrame, keys: Sequence[str], order: Sequence[str], block_rows: int) -> DataFrame:
     return (_number_by_range(hot, keys, order, "__pos")
             .withColumn("__block", F.floor((F.col("__pos") - 1) / block_rows)))
