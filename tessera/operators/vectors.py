@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.ordering import top_per_key
 from tessera.session import scratch_path
 
 QUERY_ROWS = 1_000
+SHARD_ROWS = 20_000
 
 
 def as_double(v: Column) -> Column:
@@ -119,29 +123,128 @@ def nearest(df: DataFrame, query: Sequence[float], key: str, vector: str, k: int
             .orderBy(F.asc_nulls_last("distance"), key).limit(k))
 
 
+class _Best:
+    """The k nearest rows of each query among the rows shown so far.
+
+    A matrix product gives distances but for rounding; pairs that may be among the best get the distance that
+    :func:`nearest` computes, term by term. Only these are kept.
+    """
+
+    def __init__(self, ids: list, queries: np.ndarray, k: int, metric: str):
+        self.ids, self.queries, self.k, self.cosine = ids, queries, k, metric == "cosine"
+        self.norms = np.sqrt(_in_turn(queries * queries))
+        self.kept = pd.DataFrame({"q": np.zeros(0, np.int64), "distance": np.zeros(0), "key": np.zeros(0, object)})
+        self.bound = np.full(len(queries), np.inf)
+
+    def _rough(self, rows: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        products = self.queries @ rows.T
+        if self.cosine:
+            return 1 - products / np.outer(self.norms, norms)
+        return np.sqrt(np.maximum(0, (self.norms ** 2)[:, None] + (norms ** 2)[None, :] - 2 * products))
+
+    def show(self, keys: Sequence, vectors: np.ndarray, step: int = 2_000) -> None:
+        if vectors.shape[1:] != self.queries.shape[1:]:
+            raise ValueError("vectors differ in dimension")
+        keys = np.array([*keys, None], object)[:-1]
+        for i in range(0, len(keys), step):
+            rows = vectors[i:i + step]
+            norms = np.sqrt(_in_turn(rows * rows))
+            rough = self._rough(rows, norms)
+            bound = self.bound
+            if len(rows) > self.k:
+                bound = np.minimum(bound, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
+            size = np.maximum(1, self.norms + norms.max(initial=0))
+            q, at = np.nonzero(rough <= (bound + (1e-9 if self.cosine else 1e-6 * size))[:, None])
+            if not len(q):
+                continue
+            if self.cosine:
+                exact = 1 - _in_turn(rows[at] * self.queries[q]) / (norms[at] * self.norms[q])
+            else:
+                gap = rows[at] - self.queries[q]
+                exact = np.sqrt(_in_turn(gap * gap))
+            both = pd.concat([self.kept, pd.DataFrame({"q": q, "distance": exact, "key": keys[i + at]})])
+            both = both.sort_values(["q", "distance", "key"], ignore_index=True)
+            self.kept = both[both.groupby("q").cumcount() < self.k]
+            full = self.kept.groupby("q")["distance"].agg(["size", "last"])
+            full = full[full["size"] == self.k]
+            self.bound[full.index.to_numpy()] = full["last"].to_numpy()
+
+    def frame(self, key: str) -> pd.DataFrame:
+        return pd.DataFrame({"query_id": [self.ids[i] for i in self.kept["q"]], key: self.kept["key"].to_list(),
+                             "distance": self.kept["distance"].to_numpy()})
+
+
+def _in_turn(products: np.ndarray) -> np.ndarray:
+    """Sum of each row, term by term from the left."""
+    return np.cumsum(products, axis=1)[:, -1] if products.shape[1] else np.zeros(len(products))
+
+
 def nearest_each(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int, metric: str = "cosine"
                  ) -> DataFrame:
-    """k nearest rows for each row ``(query_id, query)`` of a table of any size (V-6).
+    """k nearest rows for each row ``(query_id, query)`` of a table of any size (V-6); ties by key.
 
-    Queries are packed into blocks of about ``QUERY_ROWS``; every task keeps
-    ``k`` rows per query before the shuffle. No queries give no rows.
+    Up to ``QUERY_ROWS`` queries travel with the function, and the rows stay where they are: every task keeps
+    ``k`` rows a query. More queries are cut into blocks and the rows into shards; each pair of a block and a
+    shard is a cell of bounded size that meets in one task, gives matrix products and sends ``k`` rows a query
+    on. No row is made for a pair. Rows without a distance (NULL vectors, under cosine also zero ones) come last
+    with a NULL distance, before them rows with a component that is not finite. No queries give no rows.
     """
+    if metric not in DISTANCES:
+        raise ValueError(f"unknown metric {metric}")
+
+    def usable(v: str) -> Column:
+        length = magnitude(F.col(v))
+        return F.coalesce(length > 0 if metric == "cosine" else length >= 0, F.lit(False))
+
+    def finite(v: str) -> Column:
+        return F.forall(v, lambda x: (x > float("-inf")) & (x < float("inf")))
+
     ready = queries.select("query_id", as_double(F.col("query")).alias("query"))
-    blocks = max(1, -(-ready.count() // QUERY_ROWS))
-    packed = (ready.select(F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("__block"),
-                           F.struct(F.col("query_id").alias("id"), F.col("query").alias("v"),
-                                    magnitude(F.col("query")).alias("norm")).alias("q"))
-              .groupBy("__block").agg(F.collect_list("q").alias("__asked")))
-    rows = df.select(key, vector, magnitude(F.col(vector)).alias("__norm")).join(packed, F.lit(True))
-    asked = F.col("__asked")
-    rows = rows.select(key, vector, "__norm", F.explode(asked).alias("q"))
-    if metric == "cosine":
-        norms = F.col("__norm") * F.col("q.norm")
-        distance = F.when(norms != 0, F.lit(1.0) - dot(F.col(vector), F.col("q.v")) / norms)
+    rows = df.select(key, as_double(F.col(vector)).alias("__v"))
+    kinds = T.StructType([ready.schema["query_id"], rows.schema[key], T.StructField("distance", T.DoubleType())])
+    asked = ready.filter(usable("query") & finite("query"))
+    given = rows.filter(usable("__v") & finite("__v"))
+    count = asked.count()
+    if count <= QUERY_ROWS:
+        listed = asked.collect()
+        ids, matrix = [r[0] for r in listed], np.array([r[1] for r in listed])
+
+        def near(batches):
+            best = None
+            for pdf in batches:
+                if len(pdf) and ids:
+                    best = best or _Best(ids, matrix, k, metric)
+                    best.show(pdf[key], np.array(pdf["__v"].to_list()))
+            if best is not None:
+                yield best.frame(key)
+
+        scored = given.mapInPandas(near, kinds)
     else:
-        distance = DISTANCES[metric](F.col(vector), F.col("q.v"))
-    scored = rows.select(F.col("q.id").alias("query_id"), key, distance.alias("distance"))
-    return top_per_key(scored, ["query_id"], ["distance", key], k)
+        blocks, shards = -(-count // QUERY_ROWS), max(1, -(-given.count() // SHARD_ROWS))
+
+        def dealt(frame, by, own, others, name):
+            every = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
+            return frame.withColumn(own[0], F.pmod(F.xxhash64(*by), F.lit(own[1])).cast("int")).withColumn(name, every)
+
+        left = dealt(given.withColumn("__row", F.monotonically_increasing_id()), ["__row"], ("__shard", shards), blocks, "__block")
+        right = dealt(asked, ["query_id"], ("__block", blocks), shards, "__shard")
+
+        def cell(shard, block):
+            if not len(shard) or not len(block):
+                return pd.DataFrame({n: [] for n in kinds.names})
+            best = _Best(block["query_id"].to_list(), np.array(block["query"].to_list()), k, metric)
+            best.show(shard[key], np.array(shard["__v"].to_list()))
+            return best.frame(key)
+
+        scored = (left.groupBy("__shard", "__block").cogroup(right.groupBy("__shard", "__block"))
+                  .applyInPandas(cell, kinds))
+    odd = F.when(usable("__v"), F.lit(float("nan")))
+    last = rows.filter(~(usable("__v") & finite("__v"))).select(key, odd.alias("distance"))
+    last = last.orderBy(F.asc_nulls_last("distance"), key).limit(k)  # k rows, whatever the table's size
+    first = rows.orderBy(key).limit(k).select(key, F.lit(None).cast("double").alias("distance"))
+    rest = asked.select("query_id").join(F.broadcast(last), F.lit(True)).unionByName(
+        ready.filter(~(usable("query") & finite("query"))).select("query_id").join(F.broadcast(first), F.lit(True)))
+    return top_per_key(scored.unionByName(rest), ["query_id"], ["distance", key], k)
 
 
 class ClusteredLists:
