@@ -10,7 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tessera.operators.graph import linked_groups
 from tessera.operators.ordering import join_on_keys, number_rows
 from tessera.session import cut_lineage
 
@@ -120,40 +122,92 @@ def set_path(column: str, path: str, value: Column) -> Column:
     return F.col(column).withField(path, value)
 
 
-def transfer(accounts: DataFrame, moves: DataFrame, key: str, balance: str) -> tuple[DataFrame, DataFrame]:
+def _walk_moves(names: list[str]):
+    """Batch function that goes through the moves of each group in order and keeps the balances of its accounts."""
+
+    def run(batches):
+        current, held = object(), {}
+        for pdf in batches:
+            decided = []
+            for group, src, dst, qty, has, gets in zip(*[pdf[c] for c in ("__group", "src", "dst", "qty", "__has", "__gets")]):
+                if group != current:
+                    current, held = group, {}
+                have = held.setdefault(src, has)
+                held.setdefault(dst, gets)
+                done = None if have is None or qty is None or have != have or qty != qty else bool(have >= qty)
+                if done:
+                    held[src] = have - qty
+                    held[dst] = None if held[dst] is None else held[dst] + qty
+                decided.append(done)
+            out = pdf[names].copy()
+            out["done"] = decided
+            yield out
+
+    return run
+
+
+def transfer(accounts: DataFrame, moves: DataFrame, key: str, balance: str, group_rows: int = 200_000
+             ) -> tuple[DataFrame, DataFrame]:
     """Paired transfers ``(seq, src, dst, qty)``, applied in ``seq`` order (M-10).
 
-    A move is refused when its source holds less than ``qty`` or an account is
-    unknown. Whether it is depends only on earlier moves that touch its source,
-    so every round decides all moves whose source has no earlier undecided
-    move. A batch of independent moves takes one round. Many moves into one
-    account do not wait for each other.
+    A move is refused when its source holds less than ``qty`` or an account is unknown; its ``done`` is NULL if
+    the balance or ``qty`` is. Moves depend on each other only through the accounts they share, so accounts
+    joined by moves form groups, and each group is walked in order by one task that keeps the balances of its
+    accounts: any number of moves takes a fixed number of passes. A group of more than ``group_rows`` moves is
+    decided in rounds over all tasks instead: each round decides the moves whose source has no earlier undecided
+    move. Only accounts that moves touch are read along; the table is written once.
     """
     known = accounts.select(F.col(key).alias("__k"))
-    live = (moves.join(known, F.col("src") == F.col("__k"), "left_semi")
-                 .join(known, F.col("dst") == F.col("__k"), "left_semi"))
-    decided = moves.join(live.select("seq"), "seq", "left_anti").withColumn("done", F.lit(False))
-    pending = cut_lineage(live)
-    state = accounts.select(key, balance)
-    while True:  # every round decides the first undecided move at least
+    live = cut_lineage(moves.join(known, F.col("src") == F.col("__k"), "left_semi")
+                       .join(known, F.col("dst") == F.col("__k"), "left_semi"))
+    strange = moves.join(live.select("seq"), "seq", "left_anti").withColumn("done", F.lit(False))
+    groups = linked_groups(live, "src", "dst").withColumnRenamed("group", "__group")
+    grouped = cut_lineage(live.join(groups, F.col("src") == F.col("node")).drop("node"))
+    large = cut_lineage(grouped.groupBy("__group").agg(F.count(F.lit(1)).alias("__n"))
+                        .filter(F.col("__n") > group_rows).select("__group"))  # moves / group_rows at most
+    large = F.broadcast(large)
+    funds = cut_lineage(accounts.select(F.col(key).alias("__k"), F.col(balance).alias("__b")).join(
+        groups.select(F.col("node").alias("__k")), "__k"))
+    small = (grouped.join(large, "__group", "left_anti")
+             .join(funds.toDF("src", "__has"), "src").join(funds.toDF("dst", "__gets"), "dst")
+             .repartition("__group").sortWithinPartitions("__group", "seq"))
+    schema = T.StructType([*live.schema.fields, T.StructField("done", T.BooleanType())])
+    decided = small.mapInPandas(_walk_moves(live.columns), schema).unionByName(strange)
+    many = grouped.join(large, "__group", "left_semi").drop("__group")
+    if many.take(1):
+        decided = decided.unionByName(_by_rounds(cut_lineage(many.select(*live.columns)), funds))
+    decided = cut_lineage(decided)
+    deltas = _deltas(decided.filter("done"))
+    change = F.coalesce("__d", F.lit(0))
+    state = accounts.join(deltas, F.col(key) == F.col("__k"), "left").withColumn(
+        balance, (F.col(balance) + change).cast(accounts.schema[balance].dataType))
+    return state.select(*accounts.columns), decided
+
+
+def _deltas(good: DataFrame) -> DataFrame:
+    """Sum of what each account pays and gets."""
+    return (good.select(F.col("src").alias("__k"), (-F.col("qty")).alias("__d"))
+            .unionByName(good.select(F.col("dst").alias("__k"), F.col("qty").alias("__d")))
+            .groupBy("__k").agg(F.sum("__d").alias("__d")))
+
+
+def _by_rounds(pending: DataFrame, funds: DataFrame) -> DataFrame:
+    """Moves with their outcome; every round decides the first undecided move at least."""
+    decided = None
+    kind = funds.schema["__b"].dataType
+    while True:
         touches = pending.select(F.col("src").alias("__k"), "seq").unionByName(
             pending.select(F.col("dst").alias("__k"), "seq"))
         first = touches.groupBy("__k").agg(F.min("seq").alias("__first"))
         ready = pending.join(first, (F.col("src") == F.col("__k")) & (F.col("seq") == F.col("__first"))).drop("__k", "__first")
-        funds = state.select(F.col(key).alias("__k"), F.col(balance).alias("__b"))
         judged = cut_lineage(ready.join(funds, F.col("src") == F.col("__k"))
                              .withColumn("done", F.col("__b") >= F.col("qty")).drop("__k", "__b"))
-        good = judged.filter("done")
-        deltas = (good.select(F.col("src").alias(key), (-F.col("qty")).alias("__d"))
-                  .unionByName(good.select(F.col("dst").alias(key), F.col("qty").alias("__d")))
-                  .groupBy(key).agg(F.sum("__d").alias("__d")))
-        state = cut_lineage(state.join(deltas, key, "left").select(
-            key, (F.col(balance) + F.coalesce("__d", F.lit(0))).cast(accounts.schema[balance].dataType).alias(balance)))
-        decided = cut_lineage(decided.unionByName(judged))
+        funds = cut_lineage(funds.join(_deltas(judged.filter("done")), "__k", "left").select(
+            "__k", (F.col("__b") + F.coalesce("__d", F.lit(0))).cast(kind).alias("__b")))
+        decided = judged if decided is None else cut_lineage(decided.unionByName(judged))
         pending = cut_lineage(pending.join(judged.select("seq"), "seq", "left_anti"))
         if not pending.take(1):
-            rest = [c for c in accounts.columns if c != balance]
-            return accounts.select(*rest).join(state, key).select(*accounts.columns), decided
+            return decided
 
 
 def patch(target: DataFrame, changes: DataFrame, key: str, allowed: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -113,3 +113,24 @@ def first_path(edges: DataFrame, start, end) -> DataFrame:
             return _as_rows(spark, None, kind)
         path.append(step)
     return _as_rows(spark, path, kind)
+
+
+def linked_groups(links: DataFrame, a: str, b: str) -> DataFrame:
+    """``node, group`` of every node of the links: the least node it is joined to, over links of either direction.
+
+    Each round takes the least group among a node's neighbours and then the group of that group, so the number
+    of rounds grows as the logarithm of the longest way in all but odd cases.
+    """
+    both = links.select(F.col(a).alias("node"), F.col(b).alias("other")).unionByName(
+        links.select(F.col(b).alias("node"), F.col(a).alias("other"))).distinct()
+    both = cut_lineage(both)
+    groups = cut_lineage(both.groupBy("node").agg(F.min("other").alias("least")).select(
+        "node", F.least("node", "least").alias("group")))
+    while True:
+        seen = both.join(groups.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("group").alias("near"))
+        lower = cut_lineage(groups.join(seen, "node").select("node", "group", F.least("group", "near").alias("low")))
+        above = lower.select(F.col("node").alias("low"), F.col("low").alias("top"))
+        jumped = cut_lineage(lower.join(above, "low").select("node", "group", F.least("low", "top").alias("next")))
+        if not jumped.filter(F.col("next") < F.col("group")).take(1):
+            return groups
+        groups = jumped.select("node", F.col("next").alias("group"))

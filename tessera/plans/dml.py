@@ -182,6 +182,22 @@ def _(t):
     return out.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
+@query("paired_transfer_one_source", "M-10", """
+WITH RECURSIVE m AS (SELECT c_custkey AS seq, CAST(abs(c_acctbal) / 100 AS DECIMAL(18,2)) AS qty,
+ row_number() OVER (ORDER BY c_custkey) AS p FROM customer),
+s AS (SELECT 0::BIGINT AS p, 0::BIGINT AS seq, CAST(5000 AS DECIMAL(18,2)) AS b, false AS done UNION ALL
+ SELECT m.p, m.seq, CASE WHEN s.b >= m.qty AND m.seq <> 1 THEN CAST(s.b - m.qty AS DECIMAL(18,2)) ELSE s.b END, s.b >= m.qty
+ FROM s JOIN m ON m.p = s.p + 1)
+SELECT seq, done FROM s WHERE p > 0""")
+def _(t):
+    """A move from customer 1, who holds 5,000, to every customer."""
+    key = F.col("c_custkey")
+    accounts = t.customer.select(key, F.when(key == 1, 5000).otherwise(F.col("c_acctbal")).cast("decimal(18,2)").alias("c_acctbal"))
+    batch = t.customer.select(key.alias("seq"), F.lit(1).cast("bigint").alias("src"), key.alias("dst"),
+                              (F.abs("c_acctbal") / 100).cast("decimal(18,2)").alias("qty"))
+    return dml.transfer(accounts, batch, "c_custkey", "c_acctbal")[1].select("seq", "done")
+
+
 @query("patch_allowed", "M-11", """
 SELECT c_custkey, CASE WHEN s_acctbal > 4000 THEN s_name ELSE c_name END AS c_name, c_acctbal
 FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey""")
