@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import _either, join_on_keys, list_parts, split_hot, top_per_key, weighted_places
+from tessera.operators.ordering import (_either, join_on_keys, list_parts, number_rows, split_hot, top_per_key,
+                                        weighted_places)
 from tessera.session import cut_lineage
 
 # Words left out of the content-word count.
@@ -123,11 +124,14 @@ def top_items(df: DataFrame, category: str, item: str, n: int) -> DataFrame:
     return top_per_key(counts, [category], ["-cnt", item], n).join(totals, category)
 
 
-def nested_counts(df: DataFrame, outer: str, inner: str, item: str = "hits") -> DataFrame:
-    """``outer -> {inner: count}``, the inner map ordered by key (G-A12)."""
+def nested_counts(df: DataFrame, outer: str, inner: str, item: str = "hits", part_rows: int = 10_000,
+                  hot_rows: int | None = None) -> DataFrame:
+    """``outer, part -> {inner: count}``, the inner map ordered by key, in parts of bounded length (G-A12).
+
+    A map holds up to ``part_rows`` keys; more continue in part 1, 2 and so on. A key stands in one part only.
+    """
     counts = df.groupBy(outer, inner).agg(F.count(F.lit(1)).alias("cnt"))
-    return counts.groupBy(outer).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(inner, "cnt")))).alias(item))
+    return nest_levels(counts, [outer, inner], F.col("cnt"), item, part_rows, hot_rows)
 
 
 def group_sets(df: DataFrame, keys: Sequence[str], value: str, part_rows: int = 10_000,
@@ -136,22 +140,27 @@ def group_sets(df: DataFrame, keys: Sequence[str], value: str, part_rows: int =
     return list_parts(df.select(*keys, value).distinct(), keys, value, [value], part_rows, hot_rows=hot_rows)
 
 
-def nest_levels(df: DataFrame, levels: Sequence[str], leaf: Column, name: str = "tree") -> DataFrame:
-    """Nested maps from the last level up to the first, one row per first level (G-A17).
+def nest_levels(df: DataFrame, levels: Sequence[str], leaf: Column, name: str = "tree", part_rows: int = 10_000,
+                hot_rows: int | None = None) -> DataFrame:
+    """Nested maps from the last level up to the first, in parts of bounded size (G-A17).
 
-    ``df`` holds one row per combination of levels, so each map is as large as
-    the number of distinct children, not of the rows behind them.
+    ``df`` holds one row per combination of levels. Output: the first level, ``part`` and the tree. The leaves below
+    one first level are numbered in the order of all levels and dealt to parts of ``part_rows`` leaves, so no row
+    grows with the data at any level: an inner key whose leaves go beyond a part goes on under the same key in the
+    next. Each leaf stands in one part, so the parts of a tree merge by their keys. Levels below the first are map
+    keys and must not be null.
     """
-    rows = df.select(*levels, leaf.alias("__leaf"))
+    rows = number_rows(df.select(*levels, leaf.alias("__leaf")), levels[:1], levels[1:], "__pos", hot_rows)
+    rows = rows.withColumn("part", F.floor((F.col("__pos") - 1) / part_rows))
 
     def by_key(a, b):
         return F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)
 
     for depth in range(len(levels) - 1, 0, -1):
         children = F.collect_list(F.struct(F.col(levels[depth]).alias("k"), F.col("__leaf").alias("v")))
-        rows = rows.groupBy(*levels[:depth]).agg(
+        rows = rows.groupBy(*levels[:depth], "part").agg(
             F.map_from_entries(F.array_sort(children, by_key)).alias("__leaf"))
-    return rows.withColumnRenamed("__leaf", name)
+    return rows.select(levels[0], "part", F.col("__leaf").alias(name))
 
 
 def folds(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -31,35 +31,73 @@ def _as_rows(spark, path: Sequence | None, kind: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(path or [])), f"pos bigint, node {kind}")
 
 
+def hops_to(edges: DataFrame, end, start=None) -> tuple[DataFrame, int | None]:
+    """``(node, hops)`` of every node that reaches ``end``, and the hops of ``start``; the walk ends where it is met.
+
+    One join per hop, against the edge. Tables of hops already walked are merged eight at a time, then eight of
+    those, so each row is written again only as often as the logarithm of the hops.
+    """
+    kind = edges.schema["src"].dataType.simpleString()
+    front = edges.sparkSession.createDataFrame([(end, 0)], f"node {kind}, hops bigint")
+    seen, met = [(0, front)], None
+    for hop in count(1):
+        walked = seen[0][1]
+        for _, table in seen[1:]:
+            walked = walked.unionByName(table)
+        steps = front.join(edges, F.col("node") == F.col("dst")).select(F.col("src").alias("node")).distinct()
+        front = cut_lineage(steps.join(walked, "node", "left_anti").withColumn("hops", F.lit(hop).cast("bigint")))
+        size, found = front.agg(F.count(F.lit(1)), F.count_if(F.col("node") == F.lit(start))).head()
+        if not size:
+            return walked, met
+        seen.append((0, front))
+        while len(seen) >= 8 and len({level for level, _ in seen[-8:]}) == 1:
+            level, merged = seen[-1]
+            for _, table in seen[-8:-1]:
+                merged = merged.unionByName(table)
+            seen[-8:] = [(level + 1, cut_lineage(merged))]
+        if found:
+            return walked.unionByName(front), hop
+
+
+def follow(pointers: DataFrame, start, steps: int) -> DataFrame:
+    """``(pos, node)`` of the first ``steps`` steps from ``start`` along ``(node, next)``, one pointer a node.
+
+    Pointers are doubled, so a way of n steps takes 2 log2(n) joins of rows of two columns. It ends where a node has
+    no pointer.
+    """
+    kind = pointers.schema["node"].dataType.simpleString()
+    jumps = [cut_lineage(pointers.select("node", "next"))]
+    while 2 ** len(jumps) <= steps:
+        once = jumps[-1]
+        twice = once.join(once.select(F.col("node").alias("next"), F.col("next").alias("far")), "next")
+        jumps.append(cut_lineage(twice.select("node", F.col("far").alias("next"))))
+    way = pointers.sparkSession.createDataFrame([(0, start)], f"pos bigint, node {kind}")
+    for power in range(len(jumps) - 1, -1, -1):
+        ahead = way.join(jumps[power], "node").select((F.col("pos") + 2 ** power).alias("pos"), F.col("next").alias("node"))
+        way = cut_lineage(way.unionByName(ahead.filter(F.col("pos") <= steps)))
+    return way
+
+
 def shortest_path(edges: DataFrame, start, end) -> DataFrame:
     """Path with the fewest hops, the first found by adjacency order (G-2).
 
-    One join per hop until the end is met or nothing new is. Each node keeps only its first discovery: among paths of
-    one length a queue meets them in the order of their edge ordinals. The
+    Hops to the end are walked backwards, one number a node. Among paths of one length a queue meets them in the
+    order of their edge ordinals, so each node passes on to its neighbour of least ordinal that is one hop nearer
+    (equal ordinals by node), and the path follows these pointers. No row holds a path. The
     result is ``(pos, node)``; no path gives no rows.
     """
     spark, kind = edges.sparkSession, edges.schema["src"].dataType.simpleString()
     if start == end:
         return _as_rows(spark, [start], kind)
     edges = cut_lineage(edges.select("src", "dst", "ordinal"))
-    front = spark.createDataFrame([(start, [start], [])], f"node {kind}, path array<{kind}>, rank array<bigint>")
-    seen = front.select("node")
-    for hop in count(1):
-        steps = (front.join(edges, F.col("node") == F.col("src"))
-                 .select(F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"),
-                         F.array_append("rank", F.col("ordinal").cast("bigint")).alias("rank")))
-        fresh = steps.join(seen, "node", "left_anti")
-        first = fresh.groupBy("node").agg(F.min(F.struct("rank", "path")).alias("best"))
-        front = cut_lineage(first.select("node", "best.path", "best.rank"))
-        size, goal = front.agg(F.count(F.lit(1)), F.max(F.when(F.col("node") == end, F.col("path")))).head()
-        if goal is not None:
-            return _as_rows(spark, list(goal), kind)
-        if not size:
-            break
-        seen = seen.unionByName(front.select("node"))
-        if hop % 8 == 0:
-            seen = cut_lineage(seen)
-    return _as_rows(spark, None, kind)
+    near, hops = hops_to(edges, end, start)
+    if hops is None:
+        return _as_rows(spark, None, kind)
+    near = cut_lineage(near)
+    here, there = near.toDF("src", "hops"), near.select(F.col("node").alias("dst"), (F.col("hops") + 1).alias("hops"))
+    ways = edges.join(here, "src").join(there, ["dst", "hops"])
+    pointers = ways.groupBy(F.col("src").alias("node")).agg(F.min(F.struct("ordinal", "dst"))["dst"].alias("next"))
+    return follow(pointers, start, hops)
 
 
 def here_frame(edges: DataFrame, node) -> DataFrame:

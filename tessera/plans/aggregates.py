@@ -132,12 +132,13 @@ def _(t):
 
 
 @query("nested_category_counts", "G-A12", """
-SELECT p_brand, string_agg(p_type || '=' || cnt, ',' ORDER BY p_type) AS hits FROM
- (SELECT p_brand, p_type, count(*) AS cnt FROM part GROUP BY 1, 2) GROUP BY 1""")
+WITH c AS (SELECT p_brand, p_type, count(*) AS cnt FROM part GROUP BY 1, 2),
+n AS (SELECT *, (row_number() OVER (PARTITION BY p_brand ORDER BY p_type) - 1) // 4 AS part FROM c)
+SELECT p_brand, part, string_agg(p_type || '=' || cnt, ',' ORDER BY p_type) AS hits FROM n GROUP BY 1, 2""")
 def _(t):
-    nested = ag.nested_counts(t.part, "p_brand", "p_type")
+    nested = ag.nested_counts(t.part, "p_brand", "p_type", part_rows=4)
     pairs = F.transform(F.map_entries("hits"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
-    return nested.select("p_brand", text(pairs).alias("hits"))
+    return nested.select("p_brand", "part", text(pairs).alias("hits"))
 
 
 @query("top_words_per_document", "G-A13", r"""
@@ -176,16 +177,17 @@ def _(t):
 @query("nested_hierarchy", "G-A17", """
 WITH s AS (SELECT r_name, n_name, c_mktsegment, count(*) AS n, max(c_custkey) AS top FROM customer
  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3),
-b AS (SELECT r_name, n_name, '{' || string_agg('"' || c_mktsegment || '":{"n":' || n || ',"top":' || top || '}', ','
- ORDER BY c_mktsegment) || '}' AS j FROM s GROUP BY 1, 2)
-SELECT r_name, '{' || string_agg('"' || n_name || '":' || j, ',' ORDER BY n_name) || '}' AS tree FROM b GROUP BY 1""")
+q AS (SELECT *, (row_number() OVER (PARTITION BY r_name ORDER BY n_name, c_mktsegment) - 1) // 7 AS part FROM s),
+b AS (SELECT r_name, part, n_name, '{' || string_agg('"' || c_mktsegment || '":{"n":' || n || ',"top":' || top || '}', ','
+ ORDER BY c_mktsegment) || '}' AS j FROM q GROUP BY 1, 2, 3)
+SELECT r_name, part, '{' || string_agg('"' || n_name || '":' || j, ',' ORDER BY n_name) || '}' AS tree FROM b GROUP BY 1, 2""")
 def _(t):
     leaves = (t.customer.groupBy("c_nationkey", "c_mktsegment")
               .agg(F.count(F.lit(1)).alias("n"), F.max("c_custkey").alias("top"))
               .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
               .join(t.region, F.col("n_regionkey") == F.col("r_regionkey")))
     return ag.nest_levels(leaves, ["r_name", "n_name", "c_mktsegment"],
-                          F.struct("n", "top")).withColumn("tree", F.to_json("tree"))
+                          F.struct("n", "top"), part_rows=7).withColumn("tree", F.to_json("tree"))
 
 
 @query("access_log_summary", "G-A18", """
