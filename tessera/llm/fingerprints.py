@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.arrays import U64, Block, mix, pieces, runs_hash
+from tessera.session import cut_lineage, remove, scratch_mark, scratch_since
 
 BUCKET_BYTES = 4 << 20
-#: A text with fewer words of the lexicon, or with fewer than half of its words there, is compared by all its words.
-FEW_WORDS = 8
+#: Words that a lexicon holds at most, 8 bytes each; the band's upper edge is set by it.
+LEXICON_TERMS = 1 << 20
 
 
 def document_terms(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -46,34 +47,20 @@ class Subsets:
         self.lexicon, self.levels, self.each = lexicon, levels, each
         self.seeds = mix(np.arange(each, dtype=np.uint64) + U64(101)) | U64(1)
 
-    def signatures(self, texts: list[bytes], whole: bool = False) -> np.ndarray:
-        """For each text one hash for each subset: of its sorted distinct terms there, 0 for none.
-
-        With ``whole`` all words of a text stand for its words of the lexicon.
+    def signatures(self, texts: list[bytes]) -> np.ndarray:
+        """For each text 16 bits for each subset: of its sorted distinct terms there, 0 for none.
 
         Subset (level, draw) holds the terms whose hash under the draw has ``level`` leading zero bits.
         The sum of hashes stands for the sorted list, since it is the same for the same set. A text without
         words of the lexicon has the hash of its bytes everywhere, so it is like its equals and no other text.
         """
-        return self.judged(texts, whole)[0]
-
-    def judged(self, texts: list[bytes], whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """Signatures of the texts, and which texts have too few of their words in the lexicon."""
         out = np.zeros((len(texts), self.levels, self.each), np.uint64)
         block = Block(texts)
         owner, terms = document_terms(block)
-        distinct = np.bincount(owner, minlength=len(texts))
-        if whole:
-            pass
-        elif len(self.lexicon):
-            near = np.minimum(np.searchsorted(self.lexicon, terms), len(self.lexicon) - 1)
-            known = self.lexicon[near] == terms
-            owner, terms = owner[known], terms[known]
-        else:
-            owner, terms = owner[:0], terms[:0]
-        known_words = np.bincount(owner, minlength=len(texts))
-        few = (known_words < FEW_WORDS) | (2 * known_words < distinct)
-        bare = known_words == 0
+        near = np.minimum(np.searchsorted(self.lexicon, terms), max(0, len(self.lexicon) - 1))
+        known = self.lexicon[near] == terms if len(self.lexicon) else np.zeros(len(terms), bool)
+        owner, terms = owner[known], terms[known]
+        bare = np.bincount(owner, minlength=len(texts)) == 0
         if bare.any():
             out[bare] = (runs_hash(block.byte_sums(), block.start, block.end)[bare] | U64(1))[:, None, None]
         for d, seed in enumerate(self.seeds):
@@ -86,7 +73,8 @@ class Subsets:
                     break
                 first = np.flatnonzero(np.diff(who, prepend=-1))
                 out[who[first], level, d] = np.add.reduceat(drawn | U64(1), first)
-        return out.reshape(len(texts), -1), few
+        short = np.maximum((mix(out) >> U64(48)).astype(np.uint16), out != 0)
+        return short.reshape(len(texts), -1)
 
     def likeness(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Share of subsets on which two texts agree, at the rates where both hold few terms; 0 to 1.
@@ -104,21 +92,40 @@ class Subsets:
         return np.where(same, 1.0, share)
 
 
-def lexicon_of(docs: DataFrame, text: str, low: float, high: float) -> np.ndarray:
-    """Sorted hashes of the terms whose inverse document frequency ``ln(N / df)`` lies in the band.
+def lexicon_of(docs: DataFrame, text: str, low: float, high: float | None = None,
+               most_terms: int = LEXICON_TERMS) -> np.ndarray:
+    """Sorted hashes of the terms in a band of inverse document frequency ``ln(N / df)``.
 
-    Frequencies are exact and over all documents. A term in the band stands in at least ``N * exp(-high)``
-    documents, so there are at most ``exp(high)`` times the mean number of distinct words of a document,
-    however many documents there are; that bounds what comes to the driver and is broadcast.
+    Frequencies are exact and over all documents. The band begins at ``low`` and ends at ``high``, or at the first
+    frequency from which on the band would hold more than ``most_terms``: frequencies are counted in eighths of a
+    power of two, and of the eighth that does not fit whole the terms of least hash fill the rest. So what comes to the
+    driver and is broadcast has at most ``most_terms`` terms, but for the chance of the last eighth's hashes.
     """
     count = docs.count()
-    most, least = count * math.exp(-low), count * math.exp(-high)
-    table = (docs.select(F.coalesce(F.col(text), F.lit("")).alias("t")).mapInArrow(_frequencies, "term long, n long")
-             .groupBy("term").agg(F.sum("n").alias("n")).filter(F.col("n").between(least, most)).select("term"))
-    return np.sort(table.toArrow()["term"].to_numpy().view(np.uint64))
-
-
-def _walk(subsets):
+    within = F.col("n") <= F.lit(count * math.exp(-low))
+    if high is not None:
+        within &= F.col("n") >= F.lit(count * math.exp(-high))
+    counted = (docs.select(F.coalesce(F.col(text), F.lit("")).alias("t")).mapInArrow(_frequencies, "term long, n long")
+               .groupBy("term").agg(F.sum("n").alias("n")).filter(within)
+               .withColumn("eighth", F.floor(F.log2("n") * 8).cast("int")))
+    mark = scratch_mark()
+    counted = cut_lineage(counted)
+    held, edge, share = 0, 0, 1.0
+    for row in sorted(counted.groupBy("eighth").count().collect(), reverse=True):  # some hundred rows at any size
+        if held + row["count"] > most_terms:
+            edge, share = row.eighth, (most_terms - held) / row["count"]
+            break
+        held += row["count"]
+    last = F.col("eighth") == edge
+    if share < 1:
+        last &= F.xxhash64("term") / 2.0 ** 64 + 0.5 < share
+    terms = counted.filter((F.col("eighth") > edge) | last).select("term").toArrow()["term"].to_numpy()
+    for path in scratch_since(mark):
+        remove(docs.sparkSession, path)
+    return np.sort(terms.view(np.uint64))
+
+
+def _walk(shared):
     """Batch function over documents in order, bucket by bucket: each text, its edited text and its successor's."""
     from hashlib import sha256
 
@@ -129,35 +136,17 @@ def _walk(subsets):
             edited.append(t[:len(t) - half] + n[:half])
         raw = [x.encode() for x in edited]
         number = {t: i for i, t in enumerate(dict.fromkeys(texts + after))}  # most texts are a successor too
-        once = [t.encode() for t in number]
-        at, to = np.array([number[t] for t in texts]), np.array([number[n] for n in after])
-        (plain, few), (other, few_edited) = subsets.judged(once), subsets.judged(raw)
-        # a pair is compared by all words if either text has few in the lexicon, so both by the same words
-        by_all, next_by_all = few[at] | few_edited, few[at] | few[to]
-        need = few.copy()
-        need[np.concatenate([at[by_all | next_by_all], to[next_by_all]])] = True
-
-        def all_words(texts, sign, need):
-            out = sign.copy()
-            if need.any():
-                out[need] = subsets.signatures([texts[i] for i in np.flatnonzero(need)], whole=True)
-            return out
-
-        full, full_edited = all_words(once, plain, need), all_words(raw, other, by_all)
-        pick = lambda use, a, b: np.where(use[:, None], a, b)
-        like_edited = subsets.likeness(pick(by_all, full[at], plain[at]), pick(by_all, full_edited, other))
-        like_next = subsets.likeness(pick(next_by_all, full[at], plain[at]), pick(next_by_all, full[to], plain[to]))
-        sign = [pick(few[at], full[at], plain[at]), pick(few_edited, full_edited, other)]
-        shown = lambda s: [x.tobytes().hex() for x in
-                           (s.reshape(len(s), subsets.levels, -1)[:, :, :4] >> U64(16)).astype(">u4")]
+        plain, other = subsets.signatures([t.encode() for t in number]), subsets.signatures(raw)
+        own, following = plain[[number[t] for t in texts]], plain[[number[n] for n in after]]
+        shown = lambda s: [x.tobytes().hex() for x in s.astype(">u2")]
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], rows[0][3]), pa.array([len(t) for t in texts], pa.int64()),
-             pa.array([sha256(x).hexdigest() for x in raw]), pa.array(shown(sign[0])), pa.array(shown(sign[1])),
-             pa.array(like_edited), pa.array(like_next)],
+             pa.array([sha256(x).hexdigest() for x in raw]), pa.array(shown(own)), pa.array(shown(other)),
+             pa.array(subsets.likeness(own, other)), pa.array(subsets.likeness(own, following))],
             ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     def run(batches):
-        own = subsets.value
+        own = Subsets(*shared.value)
         held, rows, size = None, [], 0
         for batch in batches:
             kind = batch.schema.field("doc_id").type
@@ -176,8 +165,9 @@ def _walk(subsets):
     return run
 
 
-def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", idf: tuple[float, float] = (2.0, 8.5),
-                levels: int = 14, each: int = 24, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                idf: tuple[float, float | None] = (0.1, None), levels: int = 14, each: int = 24,
+                bucket_bytes: int = BUCKET_BYTES, most_terms: int = LEXICON_TERMS) -> DataFrame:
     """I-Match fingerprints of each text and of its edited text, and their likeness.
 
     Output: ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``. The
@@ -185,47 +175,60 @@ def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", idf
     in order of id (after the last: the first). ``near_edited`` compares the fingerprints of both texts,
     ``near_next`` that of the text with the next document's.
 
-    The lexicon holds the words whose inverse document frequency lies in the band ``idf``. A fingerprint is
-    the list of hashes of a text's sorted distinct words in ``levels * each`` randomised subsets of the
-    lexicon; level ``i`` keeps about one word in ``2^i``. The fingerprint column shows four subsets of each level,
-    likeness uses all.
+    The lexicon holds the words whose inverse document frequency lies in the band ``idf``; its low edge leaves out
+    the words of nearly all documents only, so the words of a large group of copies stay, and its upper edge comes from
+    the measured frequencies: the ``most_terms`` most frequent words are in, see :func:`lexicon_of`. A fingerprint is
+    the list of hashes (four hexadecimal digits each) of a text's sorted distinct words in ``levels * each`` randomised
+    subsets of the lexicon; level ``i`` keeps about one word in ``2^i``. Likeness reads the same hashes.
 
-    Documents are dealt by ranges of id to buckets of about ``bucket_bytes`` of text; the first document of a
+    Documents are dealt by ranges of id to buckets of about ``bucket_bytes`` of text, rows without an id or of an id
+    that fills several buckets by ranges of their texts' hash; the first document of a
     bucket is also sent to the bucket before, so each bucket knows all its successors and the texts are
-    shuffled once. A text with fewer than ``FEW_WORDS`` words of the lexicon, or with fewer than half of its words
-    there, such as one of a group of near copies so large that the words they share are none of the lexicon, has the
-    fingerprint of all its words, and a pair with such a text is compared by all words of both. Null texts count as
-    empty; texts without words, also empty ones, are like equal texts (1) and no others (0). Equal ids follow each other by text; null ids come first; a single document is its own
-    successor; an empty table gives an empty table. Other columns are not read.
+    shuffled once. Null texts count as empty; texts without words of the lexicon, also empty ones, are like equal texts
+    (1) and no others (0). Equal ids follow each other by hash of the text; null ids come first; a single document is
+    its own successor; an empty table gives an empty table. Other columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    lexicon = lexicon_of(docs, text, *idf)
-    size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    count = int(min(4096, max(1, -(-size // bucket_bytes))))
-    cuts = sorted(set(rows.select(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 20 * count)
-                                  .alias("p")).head()[0] or [])) if count > 1 else []
-    bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else None
-    bucket = F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))) if cuts else F.lit(0)
-    placed = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), 0).otherwise(bucket))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    lexicon = lexicon_of(docs, text, *idf, most_terms)
+    octets = F.octet_length("text").cast("bigint")
+    size, lost = rows.agg(F.sum(octets), F.sum(F.when(F.col("doc_id").isNull(), octets))).head()
+    count = int(min(4096, max(1, -(-(size or 0) // bucket_bytes))))
+    cuts = (rows.select(F.percentile_approx("doc_id", [i / count for i in range(1, count)], 20 * count).alias("p"))
+            .head()[0] or []) if count > 1 else []
+    bounds = sorted(set(cuts))
+
+    def by_hash(parts):
+        """The range of hashes a text falls into, of as many equal ones."""
+        return F.least(F.floor((F.col("h") / 2.0 ** 64 + 0.5) * parts), parts - 1)
+
+    bucket = F.lit(0).cast("bigint")
+    if bounds:
+        bucket = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("doc_id"))).cast("bigint") * (1 << 16)
+        hot = [F.lit(v) for c in bounds if cuts.count(c) > 1 for v in (c, cuts.count(c))]
+        if hot:
+            parts = F.element_at(F.create_map(*hot), F.col("doc_id"))
+            bucket = F.when(parts.isNull(), bucket).otherwise(bucket + 1 + by_hash(parts))
+    absent = by_hash(F.lit(int(min(4096, max(1, -(-(lost or 0) // bucket_bytes))))).cast("bigint")) - (1 << 16)
+    placed = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), absent).otherwise(bucket))
     # the first document of each bucket goes to the bucket before it as well, the very first to the last
-    order = F.struct(F.col("doc_id").isNotNull().alias("o"), "doc_id", "text")
-    firsts = sorted(placed.groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("o"), "doc_id"))
-                                                  .alias("f")).collect(), key=lambda r: r.bucket)
-    guest_of = [(firsts[i].bucket, firsts[i - 1].bucket, firsts[i].f.doc_id) for i in range(len(firsts))]
+    order = [F.col("doc_id").isNotNull().alias("o"), "doc_id", "h"]
+    firsts = sorted(placed.groupBy("bucket").agg(F.min(F.struct(*order)).alias("f")).collect(), key=lambda r: r.bucket)
+    guest_of = [(firsts[i].bucket, firsts[i - 1].bucket, firsts[i].f.doc_id, firsts[i].f.h) for i in range(len(firsts))]
     kind = docs.schema[doc_id].dataType
+    here = placed.select("bucket", F.lit(False).alias("guest"), "doc_id", "text", "h")
     if guest_of:
-        guests = spark.createDataFrame(guest_of, f"b int, into int, id {kind.simpleString()}")
-        sent = (placed.join(F.broadcast(guests), (F.col("bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("id")))
-                .groupBy("into").agg(F.min(order).alias("g"))
-                .select(F.col("into").alias("bucket"), F.lit(True).alias("guest"), "g.doc_id", "g.text"))
-        placed = placed.select("bucket", F.lit(False).alias("guest"), "doc_id", "text").unionByName(sent)
-    else:
-        placed = placed.select("bucket", F.lit(False).alias("guest"), "doc_id", "text")
-    shared = spark.sparkContext.broadcast(Subsets(lexicon, levels, each))
+        guests = spark.createDataFrame(guest_of, f"b bigint, into bigint, id {kind.simpleString()}, first bigint")
+        same = ((F.col("bucket") == F.col("b")) & (F.col("h") == F.col("first")) & F.col("doc_id").eqNullSafe(F.col("id")))
+        sent = (placed.join(F.broadcast(guests), same).groupBy("into").agg(F.min(F.struct(*order, "text")).alias("g"))
+                .select(F.col("into").alias("bucket"), F.lit(True).alias("guest"), "g.doc_id", "g.text", "g.h"))
+        here = here.unionByName(sent)
+    # plain arrays are sent: the workers need not have this package
+    shared = spark.sparkContext.broadcast((lexicon, levels, each))
     schema = (f"doc_id {kind.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, "
               "edited_fingerprint string, near_edited double, near_next double")
-    return (placed.repartition("bucket").sortWithinPartitions("bucket", "guest", F.asc_nulls_first("doc_id"), "text")
+    return (here.repartition("bucket").sortWithinPartitions("bucket", "guest", F.asc_nulls_first("doc_id"), "h", "text")
             .mapInArrow(_walk(shared), schema))
 
 

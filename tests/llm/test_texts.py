@@ -229,6 +229,122 @@ def test_lexicon_band(spark):
     assert sorted(found) == sorted(want)
 
 
+def test_lexicon_is_bounded(spark):
+    """The most frequent words below the low edge are in; of a frequency that does not fit whole, a part by hash."""
+    from tessera.llm.arrays import Block
+    from tessera.llm.fingerprints import document_terms, lexicon_of
+
+    texts = [f"all half{i % 2} tenth{i % 10} own{i} other{i}" for i in range(100)]
+    df = make(spark, texts)
+    frequent = set(document_terms(Block([" ".join([*(f"half{i}" for i in range(2)), *(f"tenth{i}" for i in range(10))]).encode()]))[1])
+    assert set(lexicon_of(df, "text", 0.1, most_terms=12)) == frequent
+    part = lexicon_of(df, "text", 0.1, most_terms=112)
+    assert frequent < set(part) and 80 < len(part) < 145
+    assert len(lexicon_of(df, "text", 0.1)) == 212 and len(lexicon_of(df, "text", 0.0)) == 213
+
+
+def plain_fingerprints(texts, levels, each):
+    """Signatures of the subsets, said in plain Python on the hash of each word."""
+    from tessera.llm.arrays import Block, mix
+    from tessera.llm.fingerprints import Subsets, document_terms
+
+    top = 1 << 64
+    words = [{bytes(w) for w in re.findall(rb"[^ \t\n\x0b\x0c\r]+", t.encode())} for t in texts]
+    n = Counter(w for ws in words for w in ws)
+    lexicon = {w: int(document_terms(Block([w]))[1][0]) for w, k in n.items() if k <= len(texts) * np.exp(-0.1)}
+    seeds = [int(s) for s in Subsets(np.zeros(0, np.uint64), levels, each).seeds]
+
+    def sign(text):
+        own = [lexicon[w] for w in set(re.findall(rb"[^ \t\n\x0b\x0c\r]+", text.encode())) if w in lexicon]
+        if not own:
+            return None
+        out = []
+        for level in range(levels):
+            for seed in seeds:
+                inside = [h * seed % top for h in own if h * seed % top < top >> level]
+                total = sum(x | 1 for x in inside) % top
+                out.append(max(int(mix(np.array([total], np.uint64))[0]) >> 48, int(total != 0)))
+        return out
+
+    return sign
+
+
+def plain_likeness(a, b, levels, each):
+    if a == b:
+        return 1.0
+    agree = spoken = 0
+    rates = [range(i * each, i * each + each) for i in range(levels)]
+    talk = [[i for i in rate if a[i] or b[i]] for rate in rates]
+    partly = [t for t in talk if 0 < len(t) < each] or [t for t in talk[-1:] if t]
+    for t in partly:
+        spoken += len(t)
+        agree += sum(a[i] == b[i] for i in t)
+    return agree / spoken if spoken else 0.0
+
+
+def test_fingerprints_against_plain_python(docs):
+    from tessera.llm.fingerprints import fingerprint
+
+    texts, levels, each = [t or "" for t in hard_texts()], 6, 8
+    sign = plain_fingerprints(texts, levels, each)
+    hexed = lambda s: "".join(f"{x:04x}" for x in s)
+    checked = 0
+    for r in fingerprint(docs, levels=levels, each=each, bucket_bytes=5_000).collect():
+        t, after = texts[r.doc_id], texts[(r.doc_id + 1) % len(texts)]
+        edited = t[:len(t) - len(t) // 2] + after[:len(t) // 2]
+        own, other, following = sign(t), sign(edited), sign(after)
+        if own:
+            assert r.fingerprint == hexed(own)
+        if other:
+            assert r.edited_fingerprint == hexed(other)
+        if own and other:
+            assert r.near_edited == pytest.approx(plain_likeness(own, other, levels, each))
+        if own and following:
+            assert r.near_next == pytest.approx(plain_likeness(own, following, levels, each))
+            checked += 1
+    assert checked > 30
+
+
+def test_fingerprints_of_shared_and_absent_ids(spark):
+    """Rows of one id, or of none, are dealt by their hash; each has the next row as its successor."""
+    from tessera.llm.fingerprints import fingerprint
+
+    texts = [sentence(i, 30) for i in range(90)]
+    rows = [(None if i < 30 else 5 if i < 60 else i, t, None, None, None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = None
+    for bucket in (4 << 20, 1_000):
+        got = sorted(tuple(r) for r in fingerprint(df, bucket_bytes=bucket).fillna(-1, ["doc_id"]).collect())
+        assert len(got) == 90 and len({r[2] for r in got}) == 90
+        assert want in (None, got)
+        want = got
+
+
+def test_workers_without_the_package(tmp_path):
+    """Operators with broadcasts run where the workers cannot import the package."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    here = Path(__file__).resolve()
+    code = f"""
+import sys
+sys.path[:0] = [{str(here.parents[2])!r}, {str(here.parent)!r}]
+from llm_fixtures import make, sentence
+from tessera.llm.fingerprints import fingerprint
+from tessera.llm.quality import score_quality
+from tessera.session import get_session
+spark = get_session("away", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+df = make(spark, [sentence(i, 20) for i in range(20)])
+labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+print("rows", fingerprint(df).count(), score_quality(df, labels).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 20 20" in done.stdout, done.stderr[-2000:]
+
+
 def test_token_counts(docs):
     from tessera.llm.tokens import count_edited, sample_edits
 
