@@ -175,12 +175,15 @@ def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     known = (stats.filter(~F.col("held_out")).join(marks, F.col(f"row.`{doc_id}`") == F.col("__id"))
              .select("__id", "stats", "y").orderBy(F.xxhash64("__id"), "__id").limit(sample_rows).toArrow())
     x = known["stats"].combine_chunks().flatten().to_numpy().reshape(-1, FEATURES).astype(np.float64)
-    model = spark.sparkContext.broadcast(fit_trees(x, known["y"].to_numpy().astype(np.float64)))
+    trees = fit_trees(x, known["y"].to_numpy().astype(np.float64))
+    # plain arrays are sent: the workers need not have this package
+    model = spark.sparkContext.broadcast((trees.feature, trees.cut, trees.leaf, trees.start, trees.depth))
 
     def apply(batches):
+        own = Trees(*model.value)
         for batch in batches:
             flat = batch.column(1).flatten().to_numpy().reshape(-1, FEATURES).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(model.value.score(flat))],
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(own.score(flat))],
                                              ["row", "held_out", "score"])
 
     scored = stats.select("row", "stats", "held_out").mapInArrow(
