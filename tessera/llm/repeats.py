@@ -8,7 +8,9 @@ Three steps, each one shuffle of packed rows:
 2. Windows that are left and follow each other under one minimiser (the least run hash in the window)
    travel as one packed string to the bucket of that minimiser. Windows under a very frequent minimiser
    travel as hashes to buckets of their own, so no bucket is hot.
-3. Buckets are sorted one at a time. A window that meets its equal there is repeated.
+3. Buckets are sorted one at a time: windows of bytes as suffixes of the bucket's strings
+   (:mod:`tessera.llm.suffix_order`), windows of words and those that travel as hashes by 128-bit hashes.
+   A window that meets its equal there is repeated.
 
 Spans are kept by the hash of the whole text: equal texts have equal spans.
 """
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.arrays import U64, Block, pieces, prefix, rolling, runs_hash, sliding, split_by
+from tessera.llm.suffix_order import equal_neighbours
 from tessera.session import cut_lineage
 
 BITMAP_BITS = 28
@@ -261,46 +264,61 @@ def _ship(plan: Windows, bitmap, hot, buckets: int):
 _SPANS = "k1 long, k2 long, spans binary"
 
 
+def _either(same: np.ndarray) -> np.ndarray:
+    """Which of some neighbours equal the one before or the one behind, from the equality of each with the next."""
+    again = np.zeros(len(same) + 1, bool)
+    again[1:] |= same
+    again[:-1] |= same
+    return again
+
+
+def _equal_hashes(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Which windows have an equal, by both of their hashes."""
+    order = np.argsort(one)
+    same = one[order][1:] == one[order][:-1]
+    if (two[order][1:][same] != two[order][:-1][same]).any():
+        order = np.lexsort((two, one))
+        same = one[order][1:] == one[order][:-1]
+    return order[_either(same & (two[order][1:] == two[order][:-1]))]
+
+
 def _resolve(plan: Windows):
     """Batch function of step 3: sort whole buckets, a bounded number of windows at a time."""
 
     def settle(rows):
-        one, two, owner, place = [], [], [], []
+        hashes, owners, places, found = [], [], [], []
         keys: list[tuple[int, int]] = []
         cold = [r for r in rows if not r[0]]
         if cold:
             units = _Units(plan, Block([r[2] for r in cold]))
             windows = np.flatnonzero(units.valid)
+            if not plan.words:
+                windows, same = equal_neighbours(units.block.raw, windows, plan.width)
+                windows = windows[_either(same[1:])]
             text = np.searchsorted(units.low, windows, side="right") - 1
-            for seed, out in ((0, one), (1, two)):
-                out.append(runs_hash(units.sums(seed), windows, windows + plan.width, seed))
-            owner.append(text)
-            place.append(np.array([r[5] for r in cold])[text] + windows - units.low[text])
+            at = np.array([r[5] for r in cold])[text] + windows - units.low[text]
+            if plan.words:
+                hashes.append([runs_hash(units.sums(i), windows, windows + plan.width, i) for i in (0, 1)])
+                owners.append(text)
+                places.append(at)
+            else:
+                found.append((text, at))
             keys += [(r[3], r[4]) for r in cold]
         for r in rows:
             if r[0]:
-                hashes = np.frombuffer(r[2], np.uint64)
-                one.append(hashes[:len(hashes) // 2])
-                two.append(hashes[len(hashes) // 2:])
+                hashes.append(np.frombuffer(r[2], np.uint64).reshape(2, -1))
                 index, at = np.frombuffer(r[7], np.int32).reshape(2, -1)
-                owner.append(index.astype(np.int64) + len(keys))
-                place.append(at)
+                owners.append(index.astype(np.int64) + len(keys))
+                places.append(at)
                 keys += map(tuple, np.frombuffer(r[6], np.int64).reshape(-1, 2).tolist())
-        one, two, owner, place = map(np.concatenate, (one, two, owner, place))
-        order = np.argsort(one)
-        same = one[order][1:] == one[order][:-1]
-        if (two[order][1:][same] != two[order][:-1][same]).any():
-            order = np.lexsort((two, one))
-            same = one[order][1:] == one[order][:-1]
-        same &= two[order][1:] == two[order][:-1]
-        again = np.zeros(len(order), bool)
-        again[1:] |= same
-        again[:-1] |= same
-        hit = order[again]
-        if not len(hit):
+        if hashes:
+            hit = _equal_hashes(*np.concatenate(hashes, axis=1))
+            found.append((np.concatenate(owners)[hit], np.concatenate(places)[hit]))
+        owner, place = (np.concatenate(x) for x in zip(*found))
+        if not len(owner):
             return None
         names, ids = np.unique(np.array(keys, np.int64).reshape(-1, 2), axis=0, return_inverse=True)
-        spot = np.unique((ids.ravel()[owner[hit]].astype(np.int64) << 32) | place[hit].astype(np.int64))
+        spot = np.unique((ids.ravel()[owner].astype(np.int64) << 32) | place.astype(np.int64))
         cut = np.flatnonzero(np.diff(spot) != 1) + 1
         first, last = spot[np.append(0, cut)], spot[np.append(cut - 1, len(spot) - 1)]
         spans = np.stack([first & 0xFFFFFFFF, (last & 0xFFFFFFFF) + 1], axis=1).astype(np.int32)

@@ -10,33 +10,10 @@ from pyspark.sql import types as T
 
 from tessera.llm.arrays import pieces
 from tessera.llm.repeats import Windows, cover_mask, repeated_spans, text_key
+from tessera.llm.suffix_order import difference_cover
 from tessera.llm.tables import broadcast_if_small
 
 
-def difference_cover(order: int) -> tuple[int, tuple[int, ...]]:
-    """A perfect difference set: ``(q*q + q + 1, residues)`` for a prime ``q``.
-
-    Every distance modulo the period is the difference of two of the ``q + 1`` residues. They are the
-    exponents of a primitive element of the field of q^3 elements that fall in a plane (Singer).
-    """
-    q, period = order, order * order + order + 1
-    for a in range(q):
-        for b in range(q):
-            for c in range(1, q):
-                def times(v):
-                    """Multiply v0 + v1 x + v2 x^2 by x, where x^3 = a x^2 + b x + c."""
-                    return v[2] * c % q, (v[0] + v[2] * b) % q, (v[1] + v[2] * a) % q
-                v, residues = (1, 0, 0), []
-                for e in range(period):
-                    if v[2] == 0:
-                        residues.append(e)
-                    v = times(v)
-                differences = {(x - y) % period for x in residues for y in residues}
-                if len(residues) == q + 1 and len(differences) == period:
-                    return period, tuple(residues)
-    raise ValueError(f"{order} is not a prime")
-
-
 def windows_plan(length: int) -> Windows:
     """Cover, sample length and minimiser length for strings of ``length`` bytes."""
     if length < 16:
@@ -79,10 +56,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     that were cut in two). Texts are UTF-8 bytes and matches never
     cross documents; strings are judged on the input, so all copies of a repeated string go.
 
-    Method: no suffix order and no ranks are computed. Positions at the residues of a difference cover are the
-    sample; two equal strings always meet at a pair of sample positions, wherever they start, so a string none of
-    whose samples is seen twice is dropped. The others are compared by 128-bit hashes of whole strings in buckets
-    by minimiser, as op 7 does, since only equality to ``length`` bytes is asked; see :mod:`tessera.llm.repeats`.
+    Method: positions at the residues of a difference cover are the sample; two equal strings always meet at a
+    pair of sample positions, wherever they start, so a string none of whose samples is seen twice is dropped.
+    Suffixes that are left go to buckets by minimiser, neighbours in one packed string; a bucket is a text of its
+    own. Its suffixes are sorted a block at a time, blocks by their first eight bytes: first by one period of
+    bytes, then, in long ties, by ranks of the bucket's cover samples, which are made before
+    (:mod:`tessera.llm.suffix_order`). Equal strings are then neighbours, told by their bytes. Suffixes under a
+    minimiser of more than ``hot_strings`` strings travel as 128-bit hashes instead of text and are compared by
+    them, dealt to buckets by hash, so no bucket outgrows a task; see :mod:`tessera.llm.repeats`.
 
     Null texts count as empty, texts shorter than ``length`` stay whole, repeated rows are documents of
     their own (and so remove each other), an empty table gives an empty table. Other columns are left out

@@ -512,3 +512,30 @@ def test_null_ids_and_repeated_rows(spark):
     assert pack(df, default_tokenizer()).select("row").distinct().count() == len(rows)
     assert sorted(r.n_links for r in near_duplicates(df).collect()) == [0, 0, 0, 2, 2, 2]
     assert remove_repeats(df).agg({"n_removed": "sum"}).head()[0] == 3 * len(text)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_suffix_order(seed):
+    """Random texts of few letters with copies: order and equality of strings as bytes, whatever the blocks."""
+    import numpy as np
+
+    from tessera.llm.suffix_order import equal_neighbours
+
+    rng = np.random.default_rng(seed)
+    for _ in range(40):
+        length = int(rng.integers(16, 120))
+        base = bytes(rng.integers(97, 98 + int(rng.integers(0, 4)), 300, dtype=np.uint8))
+        raw = b""
+        for _ in range(int(rng.integers(1, 8))):
+            a, b = sorted(rng.integers(0, 300, 2).tolist())
+            part = bytearray(base[a:b])
+            if part and rng.random() < 0.5:
+                part[int(rng.integers(0, len(part)))] = 48
+            raw += bytes(part) + b"\n"
+        starts = np.arange(max(0, len(raw) - length + 1))
+        starts = starts[rng.random(len(starts)) < 0.9]
+        order, same = equal_neighbours(raw, starts, length, block=int(rng.choice([1, 7, 64, 65_536])))
+        assert sorted(order.tolist()) == starts.tolist()
+        strings = [raw[i:i + length] for i in order.tolist()]
+        assert strings == sorted(strings)
+        assert same.tolist() == [i > 0 and strings[i] == strings[i - 1] for i in range(len(strings))]
