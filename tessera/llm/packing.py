@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import string
 import zlib
 
 import numpy as np
@@ -22,23 +23,35 @@ RESIDUAL_ROWS = 5_000
 PIECE_BYTES = 4 << 20
 WORDS = 500_000
 SIGN = "0"  # a word that stands behind each of many words encoded in one text
+TAIL = ".,!?;:$%*#"  # signs at the end of a word that can be encoded apart from it
+BEFORE = {c for c in map(chr, range(256)) if c.isascii() and c.isalnum() or c >= "\u00c0" and c.isalpha()}
 
 
 class Words:
     """Ids of the words met so far, each encoded once; all are forgotten when they have become too many.
 
-    Place 0 is the end of a text.
+    Place 0 is the empty word. If the tokenizer, by its answers to samples, parts a Latin-1 letter or a digit from
+    the signs of ``TAIL`` behind it, these are encoded apart; if it lower-cases, plain words are encoded in lower
+    case. So ``Word``, ``word,`` and ``word`` are encoded once.
     """
 
     def __init__(self, tokenizer, end_id: int, most_words: int = WORDS, most_ids: int = 8 * WORDS):
         self.tokenizer, self.end_id, self.most_words, self.most_ids = tokenizer, end_id, most_words, most_ids
         sign = tokenizer.encode(SIGN, add_special_tokens=False).ids
         self.sign = sign[0] if len(sign) == 1 else None
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        parted = tokenizer.pre_tokenizer is not None and all(
+            len(tokenizer.pre_tokenizer.pre_tokenize_str(x + sign * 2)) == 2 for x in BEFORE for sign in TAIL)
+        self.tail = TAIL if parted and not any(set(t) & set(TAIL) for t in added) else ""
+        self.lowers = (tokenizer.normalizer is not None and not any(t.isalnum() for t in added) and
+                       tokenizer.normalizer.normalize_str(string.ascii_uppercase) == string.ascii_lowercase)
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids, self.begin = np.array([self.end_id], "<u4"), np.array([0, 1], np.int64)
+        self.word: dict[str, int] = {}
+        self.pairs = np.zeros((0, 2), np.int64)  # for each word the places of its two parts
+        self.place: dict[str, int] = {"": 0}
+        self.ids, self.begin = np.zeros(0, "<u4"), np.zeros(2, np.int64)
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -64,20 +77,51 @@ class Words:
             found = self._encoded(words[i:i + at_once])
             yield np.concatenate(found), np.array([len(f) for f in found], np.int64)
 
-    def places(self, words: list[str]) -> np.ndarray:
-        """The place of each of some distinct words: its ids are ``ids[begin[place]:begin[place + 1]]``."""
-        if len(self.place) > self.most_words or len(self.ids) > self.most_ids:
+    def _parts(self, words: list[str]) -> tuple[list[str], list[str]]:
+        """What of each word is encoded, and the signs behind it that are encoded apart."""
+        cores = [w.rstrip(self.tail) for w in words] if self.tail else words
+        cores = [c if c[-1:] in BEFORE else w for c, w in zip(cores, words)]
+        tails = [w[len(c):] for c, w in zip(cores, words)]
+        return [c.lower() if c.isascii() and c.isalnum() else c for c in cores] if self.lowers else cores, tails
+
+    def _add(self, words, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.place.update(zip(words, range(len(self.begin) - 1, len(self.begin) - 1 + len(words))))
+        self.ids = np.concatenate([self.ids, ids]).astype("<u4", copy=False)
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+
+    def _learn(self, words: list[str]) -> None:
+        if not words:
+            return
+        plain = [w for w in words if SIGN not in w] if self.sign is not None else []
+        single = [w for w in words if SIGN in w] if self.sign is not None else words
+        found = [*self._in_lines(plain), *self._one_by_one(single)]
+        self._add(plain + single, np.concatenate([ids for ids, _ in found]), np.concatenate([n for _, n in found]))
+
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some distinct words, one behind the other, and where each begins."""
+        if len(self.word) > self.most_words or len(self.ids) > self.most_ids:
             self._forget()
-        fresh = [w for w in words if w not in self.place]
+        fresh = [w for w in words if w not in self.word]
         if fresh:
-            plain = [w for w in fresh if SIGN not in w] if self.sign is not None else []
-            single = [w for w in fresh if SIGN in w] if self.sign is not None else fresh
-            found = [*self._in_lines(plain), *self._one_by_one(single)]
-            self.place.update(zip(plain + single, range(len(self.begin) - 1, len(self.begin) - 1 + len(fresh))))
-            self.ids = np.concatenate([self.ids, *[ids for ids, _ in found]]).astype("<u4", copy=False)
-            sizes = np.concatenate([n for _, n in found])
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
-        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+            parts = self._parts(fresh)
+            for some in parts:
+                self._learn([p for p in dict.fromkeys(some) if p not in self.place])
+            pairs = [np.fromiter(map(self.place.__getitem__, p), np.int64, len(p)) for p in parts]
+            self.word.update(zip(fresh, range(len(self.word), len(self.word) + len(fresh))))
+            self.pairs = np.concatenate([self.pairs, np.stack(pairs, axis=1)])
+        places = self.pairs[np.fromiter(map(self.word.__getitem__, words), np.int64, len(words))]
+        ids, begin = at_places(self.ids, self.begin, places.ravel())
+        return ids, begin[::2]
+
+
+def at_places(ids: np.ndarray, begin: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words at some places, one word behind the other, and where each begins."""
+    first = begin[places]
+    sizes = begin[places + 1] - first
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    spots = np.repeat(first - starts[:-1], sizes)
+    spots += np.arange(starts[-1])
+    return ids[spots], starts
 
 
 def token_ids(known: Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -88,18 +132,14 @@ def token_ids(known: Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
     coded = lists.flatten().dictionary_encode()
-    found = known.places(coded.dictionary.to_pylist())
+    ids, begin = known.encoded(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
     at = lists.offsets.to_numpy().astype(np.int64) + np.arange(len(texts) + 1)
     ends = np.zeros(at[-1], bool)
     ends[at[1:] - 1] = True
-    place = np.zeros(at[-1], np.int64)
-    place[~ends] = found[coded.indices.to_numpy(zero_copy_only=False)]
-    first = known.begin[place]
-    per_word = known.begin[place + 1] - first
-    upto = np.concatenate([[0], np.cumsum(per_word)])
-    spots = np.repeat(first - upto[:-1], per_word)
-    spots += np.arange(upto[-1])
-    return known.ids[spots], upto[at]
+    place = np.full(at[-1], len(begin) - 1, np.int64)  # behind all words, the end id
+    place[~ends] = coded.indices.to_numpy(zero_copy_only=False)
+    ids, starts = at_places(np.append(ids, np.uint32(known.end_id)), np.append(begin, begin[-1] + 1), place)
+    return ids, starts[at]
 
 
 def _tokenised(path: str, window: int, chunk: int, end_id: int):

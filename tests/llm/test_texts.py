@@ -539,3 +539,21 @@ def test_suffix_order(seed):
         strings = [raw[i:i + length] for i in order.tolist()]
         assert strings == sorted(strings)
         assert same.tolist() == [i > 0 and strings[i] == strings[i - 1] for i in range(len(strings))]
+
+
+def test_words_encoded_by_parts():
+    """Signs behind a word and its case change no id, whatever the word holds."""
+    from tokenizers import Tokenizer
+
+    from tessera.llm.packing import Words, default_tokenizer, token_ids
+
+    tokenizer = Tokenizer.from_file(default_tokenizer())
+    words = ["Word", "word,", "word", "WORD***", "it's.", "it'S.", "it'.", "...", "a.b.", "a1!?", "0.", "10%", "é.", "É,",
+             "é.", "x²;", "¼.", "ﬁ.", "×.", "a×.", "x_", "x_.", "<|endoftext|>.", "<|endoftext|>", "A<|ENDOFTEXT|>a,",
+             "<|endoftext|>ab,", "ſ.", "İ.", "ß!", "don't,", "a̸.", "#", "$5.00,", "日本.", "a‍.", "K.", "ª:", "µ#"]
+    known = Words(tokenizer, 1)
+    assert known.tail and known.lowers
+    for texts in ([" ".join(words)], words, [w + "," for w in words], [w.upper() + ".#" for w in words], [" ".join(words)]):
+        ids, at = token_ids(known, texts)
+        for text, a, b in zip(texts, at, at[1:]):
+            assert ids[a:b].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], text
