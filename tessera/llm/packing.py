@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
-import string
+import re
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.arrays import pieces
+from tessera.llm.arrays import ranges
 from tessera.session import cut_lineage
 
 WINDOW = 2_048
@@ -24,15 +25,34 @@ PIECE_BYTES = 4 << 20
 WORDS = 500_000
 SIGN = "0"  # a word that stands behind each of many words encoded in one text
 TAIL = ".,!?;:$%*#"  # signs at the end of a word that can be encoded apart from it
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"  # of ASCII and Latin-1, as a class of characters
+WHOLE = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"  # words of lower-case letters
 BEFORE = {c for c in map(chr, range(256)) if c.isascii() and c.isalnum() or c >= "\u00c0" and c.isalpha()}
 
 
+def names_letters(spec: str) -> bool:
+    """If a pattern in the JSON of a normalizer or pre-tokenizer has letters or braces.
+
+    Classes such as ``\\p{L}`` and letters behind an apostrophe do not count: no run of letters alone meets these.
+    """
+    node, found = [json.loads(spec)], []
+    while node:
+        one = node.pop()
+        if isinstance(one, dict):
+            found += (one.get("pattern") or {}).values()
+        if isinstance(one, (dict, list)):
+            node += one.values() if isinstance(one, dict) else one
+    bare = (re.sub(r"\\[pP]\{\w+\}|\\[sSdDwWrnt]|'[a-z]+", "", pattern) for pattern in found)
+    return any(c.isalpha() or c in "{}" for pattern in bare for c in pattern)
+
+
 class Words:
     """Ids of the words met so far, each encoded once; all are forgotten when they have become too many.
 
     Place 0 is the empty word. If the tokenizer, by its answers to samples, parts a Latin-1 letter or a digit from
     the signs of ``TAIL`` behind it, these are encoded apart; if it lower-cases, plain words are encoded in lower
-    case. So ``Word``, ``word,`` and ``word`` are encoded once.
+    case. So ``Word``, ``word,`` and ``word`` are encoded once. If it leaves words of lower-case Latin-1 letters whole,
+    also by samples, its model encodes them without the steps before it.
     """
 
     def __init__(self, tokenizer, end_id: int, most_words: int = WORDS, most_ids: int = 8 * WORDS):
@@ -43,46 +63,93 @@ class Words:
         parted = tokenizer.pre_tokenizer is not None and all(
             len(tokenizer.pre_tokenizer.pre_tokenize_str(x + sign * 2)) == 2 for x in BEFORE for sign in TAIL)
         self.tail = TAIL if parted and not any(set(t) & set(TAIL) for t in added) else ""
+        upper = "".join(sorted(c for c in BEFORE if c.lower() != c))
         self.lowers = (tokenizer.normalizer is not None and not any(t.isalnum() for t in added) and
-                       tokenizer.normalizer.normalize_str(string.ascii_uppercase) == string.ascii_lowercase)
+                       tokenizer.normalizer.normalize_str(upper) == upper.lower())
+        self.model = None if any(t.isalpha() for t in added) else self._model()
+        self.last = self._last_ids() if self.model else None
         self._forget()
 
+    def _model(self):
+        """The tokenizer without normalizer, words parted at spaces only.
+
+        None if one of its patterns names letters or counts, or if a sample comes out otherwise.
+        """
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        steps = [x.__getstate__().decode() for x in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer) if x]
+        if any(map(names_letters, steps)):
+            return None
+        letters = sorted(c for c in BEFORE if c.isalpha() and c.lower() == c)
+        cut, given = [pre_tokenizers.WhitespaceSplit()], self.tokenizer.pre_tokenizer
+        if given is not None and given.pre_tokenize_str(letters[-1])[0][0] != letters[-1]:
+            cut.append(pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False))
+        model = Tokenizer(self.tokenizer.model)
+        model.pre_tokenizer = pre_tokenizers.Sequence(cut)
+        samples = [SIGN, "".join(letters), *(a + a + b + b for a in letters for b in letters)]
+        same = self._encoded(samples), self._encoded(samples, model)
+        return model if all(map(np.array_equal, *same)) else None
+
+    def _last_ids(self):
+        """For each id if it stands at the end of a word, where the model marks these; else None."""
+        mark = getattr(self.model.model, "end_of_word_suffix", None)
+        if not mark:
+            return None
+        vocabulary = self.model.get_vocab(with_added_tokens=False)
+        last = np.zeros(max(vocabulary.values()) + 1, bool)
+        last[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        return last
+
     def _forget(self) -> None:
-        self.word: dict[str, int] = {}
-        self.pairs = np.zeros((0, 2), np.int64)  # for each word the places of its two parts
         self.place: dict[str, int] = {"": 0}
         self.ids, self.begin = np.zeros(0, "<u4"), np.zeros(2, np.int64)
 
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _encoded(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in found]
 
-    def _in_lines(self, words: list[str], width: int = 256, at_once: int = 5_000):
-        """Ids of words that go many in one text, ``SIGN`` behind each, and the number of ids of each word.
+    def _in_lines(self, words: list[str], tokenizer=None, last=None, width: int = 256, at_once: int = 5_000):
+        """Ids of words that go many in one text, and the number of ids of each word.
 
-        A text has one sign for each word, and more only if a word makes that id itself; then its words go one by one.
+        Words end at ids of ``last``; without it ``SIGN`` stands behind each. A text has one end for each word; if it
+        comes out otherwise, because a word makes such an id itself, its words go one by one.
         """
+        between, close = (" ", "") if last is not None else (f" {SIGN} ", f" {SIGN}")
         for i in range(0, len(words), at_once):
             some = words[i:i + at_once]
             lines = [some[j:j + width] for j in range(0, len(some), width)]
-            for line, ids in zip(lines, self._encoded([f" {SIGN} ".join(x) + f" {SIGN}" for x in lines])):
-                signs = np.flatnonzero(ids == self.sign)
-                if len(signs) == len(line):
-                    yield np.delete(ids, signs), np.diff(signs, prepend=-1) - 1
-                else:
+            for line, ids in zip(lines, self._encoded([between.join(x) + close for x in lines], tokenizer)):
+                ends = np.flatnonzero(last[ids] if last is not None else ids == self.sign)
+                if len(ends) != len(line) or ends[-1] != len(ids) - 1:
                     yield from self._one_by_one(line)
+                elif last is not None:
+                    yield ids, np.diff(ends, prepend=-1)
+                else:
+                    yield np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
 
     def _one_by_one(self, words: list[str], at_once: int = 5_000):
         for i in range(0, len(words), at_once):
             found = self._encoded(words[i:i + at_once])
             yield np.concatenate(found), np.array([len(f) for f in found], np.int64)
 
-    def _parts(self, words: list[str]) -> tuple[list[str], list[str]]:
+    def _parts(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
         """What of each word is encoded, and the signs behind it that are encoded apart."""
-        cores = [w.rstrip(self.tail) for w in words] if self.tail else words
-        cores = [c if c[-1:] in BEFORE else w for c, w in zip(cores, words)]
-        tails = [w[len(c):] for c, w in zip(cores, words)]
-        return [c.lower() if c.isascii() and c.isalnum() else c for c in cores] if self.lowers else cores, tails
+        cores, tails = words, pa.array(np.full(len(words), "", object), pa.string())
+        if self.tail:
+            cores = pc.utf8_rtrim(words, characters=self.tail)
+            ended = pc.less(pc.binary_length(cores), pc.binary_length(words))
+            some, whole = cores.filter(ended), words.filter(ended)
+            some = pc.if_else(pc.match_substring_regex(some, f"[{LETTERS}0-9]$"), some, whole)
+            behind = [w[len(c):] for c, w in zip(as_list(some), as_list(whole))]
+            cores = pc.replace_with_mask(cores, ended, some)
+            tails = pc.replace_with_mask(tails, ended, pa.array(behind, pa.string()))
+        if self.lowers:
+            low = pc.utf8_lower(cores)
+            cased = pc.not_equal(low, cores)
+            some = cores.filter(cased)
+            plain = pc.match_substring_regex(some, f"^(?:[{LETTERS}]+|[A-Za-z0-9]+)$")
+            cores = pc.replace_with_mask(cores, cased, pc.if_else(plain, low.filter(cased), some))
+        return cores, tails
 
     def _add(self, words, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.place.update(zip(words, range(len(self.begin) - 1, len(self.begin) - 1 + len(words))))
@@ -92,28 +159,33 @@ class Words:
     def _learn(self, words: list[str]) -> None:
         if not words:
             return
-        plain = [w for w in words if SIGN not in w] if self.sign is not None else []
-        single = [w for w in words if SIGN in w] if self.sign is not None else words
-        found = [*self._in_lines(plain), *self._one_by_one(single)]
-        self._add(plain + single, np.concatenate([ids for ids, _ in found]), np.concatenate([n for _, n in found]))
-
-    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lettered = pc.match_substring_regex(pa.array(words, pa.string()), WHOLE)
+        signed = pc.match_substring(pa.array(words, pa.string()), SIGN)
+        kind = np.where(lettered, 0, np.where(signed, 2, 1)) if self.model else np.where(signed, 2, 1)
+        kind = kind.tolist() if self.sign is not None else [2] * len(words)
+        bare, rest, single = ([w for w, k in zip(words, kind) if k == n] for n in range(3))
+        found = [*self._in_lines(bare, self.model, self.last), *self._in_lines(rest), *self._one_by_one(single)]
+        self._add(bare + rest + single, np.concatenate([ids for ids, _ in found]), np.concatenate([n for _, n in found]))
+
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some distinct words, one behind the other, and where each begins."""
-        if len(self.word) > self.most_words or len(self.ids) > self.most_ids:
+        if len(self.place) > self.most_words or len(self.ids) > self.most_ids:
             self._forget()
-        fresh = [w for w in words if w not in self.word]
-        if fresh:
-            parts = self._parts(fresh)
-            for some in parts:
-                self._learn([p for p in dict.fromkeys(some) if p not in self.place])
-            pairs = [np.fromiter(map(self.place.__getitem__, p), np.int64, len(p)) for p in parts]
-            self.word.update(zip(fresh, range(len(self.word), len(self.word) + len(fresh))))
-            self.pairs = np.concatenate([self.pairs, np.stack(pairs, axis=1)])
-        places = self.pairs[np.fromiter(map(self.word.__getitem__, words), np.int64, len(words))]
-        ids, begin = at_places(self.ids, self.begin, places.ravel())
+        places = []
+        for part in self._parts(words):
+            coded = part.dictionary_encode()
+            some = as_list(coded.dictionary)
+            self._learn([w for w in some if w not in self.place])
+            at = np.fromiter(map(self.place.__getitem__, some), np.int64, len(some))
+            places.append(at[coded.indices.to_numpy(zero_copy_only=False)])
+        ids, begin = at_places(self.ids, self.begin, np.stack(places, axis=1).ravel())
         return ids, begin[::2]
 
 
+def as_list(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 def at_places(ids: np.ndarray, begin: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the words at some places, one word behind the other, and where each begins."""
     first = begin[places]
@@ -124,15 +196,15 @@ def at_places(ids: np.ndarray, begin: np.ndarray, places: np.ndarray) -> tuple[n
     return ids[spots], starts
 
 
-def token_ids(known: Words, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def token_ids(known: Words, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each closed by the end id, and the offsets of the texts.
 
     The tokenizer drops white space and joins nothing across it, so each distinct word is encoded once and
     its ids are put wherever it stands.
     """
-    lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+    lists = pc.ascii_split_whitespace(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
     coded = lists.flatten().dictionary_encode()
-    ids, begin = known.encoded(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+    ids, begin = known.encoded(coded.dictionary)
     at = lists.offsets.to_numpy().astype(np.int64) + np.arange(len(texts) + 1)
     ends = np.zeros(at[-1], bool)
     ends[at[1:] - 1] = True
@@ -154,15 +226,17 @@ def _tokenised(path: str, window: int, chunk: int, end_id: int):
 
         known = Words(Tokenizer.from_file(path), end_id)
         for batch in batches:
-            for a, b, texts in pieces(batch.column(1), PIECE_BYTES):
-                ids, at = token_ids(known, [t.decode() for t in texts])
-                raw = memoryview(ids.tobytes())
+            for a, b in ranges(batch.column(1), PIECE_BYTES):
+                texts = batch.column(1).slice(a, b - a)
+                ids, at = token_ids(known, texts)
+                raw, step = memoryview(ids.tobytes()), 4 * chunk
                 full, rest, parts = [], [], []
                 for s, e in zip(at.tolist(), at[1:].tolist()):
                     cut = s + (e - s) // window * window
                     full.append([zlib.crc32(raw[4 * i:4 * (i + window)]) for i in range(s, cut, window)])
-                    rest.append(zlib.crc32(raw[4 * cut:4 * e]))
-                    parts.append([zlib.crc32(raw[4 * i:4 * min(i + chunk, e)]) for i in range(cut, e, chunk)])
+                    left = raw[4 * cut:4 * e]
+                    rest.append(zlib.crc32(left))
+                    parts.append([zlib.crc32(left[i:i + step]) for i in range(0, len(left), step)])
                 some = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(np.diff(at)), pa.array(full, some),

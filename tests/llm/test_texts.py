@@ -557,3 +557,49 @@ def test_words_encoded_by_parts():
         ids, at = token_ids(known, texts)
         for text, a, b in zip(texts, at, at[1:]):
             assert ids[a:b].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], text
+
+
+def test_words_of_letters_encoded_by_the_model():
+    """Words of Latin-1 letters share one entry whatever their case; other tokenizers than the usual give their ids."""
+    import json
+    import random
+
+    from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
+
+    from tessera.llm.packing import Words, default_tokenizer, token_ids
+
+    usual = Tokenizer.from_file(default_tokenizer())
+    known = Words(usual, 1)
+    token_ids(known, ["École ÉCOLE, école. École?! 0 l0l a-b"])
+    assert [w for w in known.place if w.startswith("é")] == ["école"]
+
+    def variant(change):
+        other = Tokenizer.from_file(default_tokenizer())
+        return change(other) or other
+
+    def without_marks(other):
+        spec = json.loads(other.to_str())
+        spec["model"]["end_of_word_suffix"] = None
+        return Tokenizer.from_str(json.dumps(spec))
+
+    def split_th(other):
+        other.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex("tht"), "isolated"), other.pre_tokenizer])
+
+    def cased(other):
+        other.normalizer = normalizers.NFC()
+
+    def plain_letters(other):
+        other.normalizer = normalizers.Sequence([normalizers.NFD(), normalizers.StripAccents(), normalizers.Lowercase()])
+
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzàéèêçßÿøæABCDEÀÉÇØthththth"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 9))) + rng.choice(["", "", ",", "!?", "'s", "0", "µ"])
+             for _ in range(3_000)] + ["00", "0", "the", "The", "THE.", "</w>", "a</w>", "ªº", "ÿ"]
+    texts = [" ".join(words[i:i + 40]) for i in range(0, len(words), 40)] + ["", " \n"]
+    makes = [lambda other: None, without_marks, split_th, cased, plain_letters, lambda other: other.add_tokens(["ab"]) and None]
+    for make in makes:
+        tokenizer = variant(make)
+        ids, at = token_ids(Words(tokenizer, 1, most_words=1_000), texts)
+        for text, a, b in zip(texts, at, at[1:]):
+            assert ids[a:b].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], (make, text)
+    assert Words(variant(split_th), 1).model is None and Words(usual, 1).last is not None
