@@ -21,7 +21,7 @@ WINDOW = 2_048
 CHUNK = 16
 SHARD_ROWS = 20_000
 RESIDUAL_ROWS = 5_000
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 WORDS = 500_000
 SIGN = "0"  # a word that stands behind each of many words encoded in one text
 TAIL = ".,!?;:$%*#"  # signs at the end of a word that can be encoded apart from it

@@ -603,3 +603,25 @@ def test_words_of_letters_encoded_by_the_model():
         for text, a, b in zip(texts, at, at[1:]):
             assert ids[a:b].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], (make, text)
     assert Words(variant(split_th), 1).model is None and Words(usual, 1).last is not None
+
+
+def test_packing_holds_a_small_part_of_a_batch():
+    """A batch of 16 MB is encoded in parts: Python and NumPy hold less than 40 MB at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tessera.llm.packing import _tokenised, default_tokenizer
+
+    line = "the quick brown fox jumps over a lazy dog, and Then it sleeps. "
+    batch = pa.record_batch([pa.array(range(4_000)), pa.array([line * 64] * 4_000)], names=["doc_id", "text"])
+    run = _tokenised(default_tokenizer(), 2_048, 16, 1)
+    next(run([batch.slice(0, 1)]))
+    tracemalloc.start()
+    try:
+        rows = sum(part.num_rows for part in run([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 4_000
+    assert peak < 40 << 20, peak
