@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from tessera.llm.arrays import U64, Block, mix, pieces, prefix, runs_hash
 from tessera.llm.graph import components
 from tessera.llm.repeats import text_key
+from tessera.llm.tables import broadcast_if_small
 from tessera.session import cut_lineage
 
 BLOCK_SHINGLES = 150_000
 DOC_COST = 100
+#: Bytes of the keys of all texts that met another, up to which only these texts are shuffled.
+KEY_BYTES = 8 << 20
 
 
 def choose_bands(threshold: float = 0.8, recall: float = 0.9999, most_hashes: int = 192) -> tuple[int, int]:
@@ -84,6 +87,8 @@ def _signatures(n: int, bands: int, rows: int):
 
 
 _MEMBER = "comp long, block int, blocks int, node long, copies long, shingles binary, bands binary"
+_PAIR = "a long, b long, similarity double"
+_LINKED = "node long, links long, root long, whole boolean"
 
 
 def _members(n: int, bands: int, rows: int):
@@ -102,7 +107,10 @@ def _members(n: int, bands: int, rows: int):
 
 
 def _verify(threshold: float, pairs: bool):
-    """Function of one pair of blocks: exact similarity of all candidates, counts and a spanning forest."""
+    """Function of one pair of blocks: exact similarity of all candidates, counts and a spanning forest.
+
+    The forest points at the least node of each tree; it is ``whole`` if its group has no other block.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         node, copies = table["node"].to_numpy(), table["copies"].to_numpy()
@@ -160,8 +168,11 @@ def _verify(threshold: float, pairs: bool):
                              "b": pa.array([max(x[:2]) for x in said], pa.int64()),
                              "similarity": pa.array([x[2] for x in said], pa.float64())})
         linked = np.flatnonzero(links)
-        return pa.table({"node": pa.array(node[linked]), "links": pa.array(links[linked]),
-                         "root": pa.array([node[root(i)] for i in linked.tolist()], pa.int64())})
+        tree = np.array([root(i) for i in linked.tolist()], np.int64)
+        least = node.copy()
+        np.minimum.at(least, tree, node[linked])
+        return pa.table({"node": pa.array(node[linked]), "links": pa.array(links[linked]), "root": pa.array(least[tree]),
+                         "whole": pa.array(np.full(len(linked), table["blocks"][0].as_py() == 1))})
 
     return run
 
@@ -180,32 +191,38 @@ class JaccardJoin:
         self.signed = cut_lineage(ids.mapInArrow(
             _signatures(n, self.bands, self.rows),
             f"doc_id {kind}, __k1 long, __k2 long, s1 long, s2 long, size int, bands array<long>"))
+        self.count = self.signed.count()
         # one node for each distinct set, so exact copies never make pairs
         self.nodes = cut_lineage(self.signed.filter("size > 0").groupBy("s1", "s2").agg(
             F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"),
             F.min(F.struct("__k1", "__k2")).alias("k"), F.first("bands").alias("bands"))
-            .withColumnRenamed("s1", "node"))
+            .withColumnRenamed("s1", "node"), self.count)
 
     def _checked(self, pairs: bool) -> DataFrame:
         spread = self.nodes.select("node", F.explode("bands").alias("bucket"))
         shared = cut_lineage(spread.groupBy("bucket").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n"))
-                             .filter("n > 1").select("bucket", "lead"))
-        near = components(spread.join(shared, "bucket").select(F.col("node").alias("a"), F.col("lead").alias("b")))
-        near = cut_lineage(near.withColumnRenamed("root", "comp").join(self.nodes.drop("bands"), "node"))
+                             .filter("n > 1").select("bucket", "lead"), self.count * self.bands)
+        near = components(spread.join(broadcast_if_small(shared, 16), "bucket")
+                          .select(F.col("node").alias("a"), F.col("lead").alias("b")), self.count * self.bands)
+        near = broadcast_if_small(near.withColumnRenamed("root", "comp"), 16)
+        near = cut_lineage(self.nodes.drop("bands").join(near, "node"), self.count)
         cost = F.sum(F.col("size") + F.lit(DOC_COST))
-        blocks = cut_lineage(near.groupBy("comp").agg(F.ceil(cost / F.lit(self.block_shingles)).cast("int").alias("blocks")))
-        plan = near.join(blocks, "comp").select(
+        blocks = F.ceil(cost / F.lit(self.block_shingles)).cast("int").alias("blocks")
+        blocks = cut_lineage(near.groupBy("comp").agg(blocks), self.count)
+        plan = cut_lineage(near.join(broadcast_if_small(blocks, 12), "comp").select(
             F.col("k.__k1").alias("__k1"), F.col("k.__k2").alias("__k2"), "comp",
-            F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "blocks", "node", "copies")
-        once = self.texts.groupBy("__k1", "__k2").agg(F.first("text").alias("text"))
-        members = once.join(cut_lineage(plan), ["__k1", "__k2"]).select("text", "comp", "block", "blocks", "node", "copies")
+            F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "blocks", "node", "copies"), self.count)
+        keys, texts = plan.select("__k1", "__k2"), self.texts
+        if plan.count() * 16 <= KEY_BYTES:
+            texts = texts.join(F.broadcast(keys), ["__k1", "__k2"], "left_semi")
+        once = texts.groupBy("__k1", "__k2").agg(F.first("text").alias("text"))
+        members = once.join(plan, ["__k1", "__k2"]).select("text", "comp", "block", "blocks", "node", "copies")
         members = members.mapInArrow(_members(self.n, self.bands, self.rows), _MEMBER)
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         cells = members.select("*", other.alias("other")).select(
-            "comp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node",
-            "copies", "shingles", "bands")
-        schema = "a long, b long, similarity double" if pairs else "node long, links long, root long"
-        return cells.groupBy("comp", "lo", "hi").applyInArrow(_verify(self.threshold, pairs), schema)
+            "comp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "blocks",
+            "node", "copies", "shingles", "bands")
+        return cells.groupBy("comp", "lo", "hi").applyInArrow(_verify(self.threshold, pairs), _PAIR if pairs else _LINKED)
 
     def pairs(self) -> DataFrame:
         """``a, b, similarity``: the least ids of two distinct sets at or above the threshold (any number of rows)."""
@@ -218,15 +235,20 @@ class JaccardJoin:
     def classes(self) -> DataFrame:
         """``doc_id, class_id, n_links`` for every row."""
         found = cut_lineage(self._checked(False))
-        near = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        links = found.groupBy("node").agg(F.sum("links").alias("links"))
-        known = cut_lineage(self.nodes.select("node", "s2", "least_id", "copies").join(near, "node", "left")
-                            .join(links, "node", "left")
-                            .withColumn("root", F.coalesce("root", "node")))
-        named = cut_lineage(known.groupBy("root").agg(F.min("least_id").alias("class_id")))
-        facts = cut_lineage(known.join(named, "root").select(
-            F.col("node").alias("s1"), "s2", "class_id",
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+        # a group of one block comes as its whole trees; those of other groups are put together
+        trees = components(found.filter("NOT whole").select(F.col("node").alias("a"), F.col("root").alias("b")))
+        links = cut_lineage(found.groupBy("node").agg(
+            F.sum("links").alias("links"), F.max(F.when(F.col("whole"), F.col("root"))).alias("own")), self.count)
+        known = cut_lineage(self.nodes.select("node", "s2", "least_id", "copies")
+                            .join(broadcast_if_small(links, 24), "node", "left")
+                            .join(broadcast_if_small(trees, 16), "node", "left")
+                            .withColumn("root", F.coalesce("root", "own", "node")), self.count)
+        named = known.filter("links IS NOT NULL").groupBy("root").agg(F.min("least_id").alias("class_id"))
+        named = cut_lineage(named, self.count)
+        named = broadcast_if_small(named, F.length(F.to_json(F.struct("root", "class_id"))))
+        facts = cut_lineage(known.join(named, "root", "left").select(
+            F.col("node").alias("s1"), "s2", F.coalesce("class_id", "least_id").alias("class_id"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), self.count)
         joined = self.signed.select("doc_id", "s1", "s2", "size").join(facts, ["s1", "s2"], "left")
         alone = F.col("size") == 0
         return joined.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),

@@ -120,6 +120,39 @@ def test_components(spark):
     assert got == {**{i: 10 for i in range(10, 61)}, **{i: 100 for i in range(100, 150)}}
 
 
+def test_components_files_and_rounds(spark):
+    from pathlib import Path
+
+    from tessera.llm.graph import components
+    from tessera.session import scratch_mark, scratch_since
+
+    few = spark.sparkContext.defaultParallelism
+    settings = {"spark.sql.shuffle.partitions": str(8 * few), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        mark = scratch_mark()
+        links = [(i // 10 * 10, i) for i in range(2_000)]
+        got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), 2_000).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i // 10 * 10 for i in range(2_000)}
+    written = scratch_since(mark)
+    assert len(written) == 2  # stars as they are take no round
+    assert all(len(list(Path(p.removeprefix("file:")).glob("part-*"))) <= few for p in written)
+
+
+@pytest.mark.parametrize("block, whole", [(150_000, True), (300, False)])
+def test_jaccard_trees_of_one_block(docs, block, whole):
+    from tessera.llm.jaccard import JaccardJoin
+
+    found = JaccardJoin(docs, block_shingles=block)._checked(False).collect()
+    assert found and (not whole or all(r.whole for r in found)) and (whole or not all(r.whole for r in found))
+    assert all(r.root <= r.node for r in found)
+
+
 def check_packing(rows, texts, window=2048):
     from tokenizers import Tokenizer
 
