@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -23,6 +25,7 @@ SHARD_ROWS = 20_000
 RESIDUAL_ROWS = 5_000
 PIECE_BYTES = 2 << 20
 WORDS = 500_000
+KEPT_WORDS = 100_000
 SIGN = "0"  # a word that stands behind each of many words encoded in one text
 TAIL = ".,!?;:$%*#"  # signs at the end of a word that can be encoded apart from it
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"  # of ASCII and Latin-1, as a class of characters
@@ -68,7 +71,7 @@ class Words:
                        tokenizer.normalizer.normalize_str(upper) == upper.lower())
         self.model = None if any(t.isalpha() for t in added) else self._model()
         self.last = self._last_ids() if self.model else None
-        self._forget()
+        self.forget()
 
     def _model(self):
         """The tokenizer without normalizer, words parted at spaces only.
@@ -100,7 +103,7 @@ class Words:
         last[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
         return last
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.place: dict[str, int] = {"": 0}
         self.ids, self.begin = np.zeros(0, "<u4"), np.zeros(2, np.int64)
 
@@ -170,7 +173,7 @@ class Words:
     def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some distinct words, one behind the other, and where each begins."""
         if len(self.place) > self.most_words or len(self.ids) > self.most_ids:
-            self._forget()
+            self.forget()
         places = []
         for part in self._parts(words):
             coded = part.dictionary_encode()
@@ -214,6 +217,24 @@ def token_ids(known: Words, texts: list[str] | pa.Array) -> tuple[np.ndarray, np
     return ids, starts[at]
 
 
+def known_words(path: str, end_id: int) -> Words:
+    """The tokenizer of a file and the words it has met, kept by a Python worker from task to task.
+
+    A tokenizer loaded for each task leaves the worker's memory in pieces, and it grows with the number of tasks.
+    Functions travel by value, so a global of this module would last for one task; a module of its own stays.
+    Above ``KEPT_WORDS`` words a task starts without them.
+    """
+    from tokenizers import Tokenizer
+
+    name = "tessera_worker_state"
+    kept = vars(sys.modules.setdefault(name, types.ModuleType(name)))
+    if (path, end_id) != kept.get("file"):
+        kept.update(file=(path, end_id), words=Words(Tokenizer.from_file(path), end_id))
+    if len(kept["words"].place) > KEPT_WORDS:
+        kept["words"].forget()
+    return kept["words"]
+
+
 def _tokenised(path: str, window: int, chunk: int, end_id: int):
     """Batch function: token count of each document, checksums of its full windows, and of what is left.
 
@@ -222,9 +243,7 @@ def _tokenised(path: str, window: int, chunk: int, end_id: int):
     """
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        known = Words(Tokenizer.from_file(path), end_id)
+        known = known_words(path, end_id)
         for batch in batches:
             for a, b in ranges(batch.column(1), PIECE_BYTES):
                 texts = batch.column(1).slice(a, b - a)

@@ -120,6 +120,29 @@ def test_components(spark):
     assert got == {**{i: 10 for i in range(10, 61)}, **{i: 100 for i in range(100, 150)}}
 
 
+def test_tokenizer_stays_with_the_worker(monkeypatch):
+    import sys
+
+    import pyarrow as pa
+    from pyspark import cloudpickle
+    from tokenizers import Tokenizer
+
+    from tessera.llm import packing
+
+    monkeypatch.delitem(sys.modules, "tessera_worker_state", raising=False)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words", None]})
+    run, out = packing._tokenised(packing.default_tokenizer(), 2_048, 16, 1), []
+    for _ in range(2):  # each task gets a copy of the function
+        task = cloudpickle.loads(cloudpickle.dumps(run))
+        out.append([x.to_pylist() for x in task([batch])])
+        words = sys.modules["tessera_worker_state"].words
+        words.met = getattr(words, "met", 0) + 1
+    assert out[0] == out[1] and words.met == 2 and isinstance(words.tokenizer, Tokenizer)
+    words.place.update((f"x{i}", 0) for i in range(packing.KEPT_WORDS))
+    again = cloudpickle.loads(cloudpickle.dumps(run))
+    assert [x.to_pylist() for x in again([batch])] == out[0] and len(words.place) < packing.KEPT_WORDS
+
+
 def test_components_files_and_rounds(spark):
     from pathlib import Path
 
