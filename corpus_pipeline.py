@@ -15,7 +15,7 @@ from tessera.llm.packing import default_tokenizer, pack
 from tessera.llm.quality import score_quality
 from tessera.llm.suffix_dedup import remove_repeats
 from tessera.llm.tables import broadcast_if_small
-from tessera.session import cut_lineage, remove, scratch_mark, scratch_path, scratch_since
+from tessera.session import BATCH_LIMIT, bound_batches, cut_lineage, remove, scratch_mark, scratch_path, scratch_since
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: The classifier's pass mark; a document below it goes.
@@ -31,11 +31,13 @@ def staged(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callab
     """A stage that begins by deleting the tables the stage before it left in the shared folder.
 
     A stage's result reads such tables until it is stored; it must be stored before the next stage is called,
-    as :func:`run` does.
+    as :func:`run` does. Batches of rows for Python are bounded in the session from the first stage on, as the
+    executors keep their memory from stage to stage.
     """
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
         while _left:
             remove(spark, _left.pop())
         before = scratch_mark()
@@ -140,7 +142,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each result is stored as Parquet and read again, then the one before goes."""
-    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    docs, before, bounded = spark.read.parquet(f"{sf_dir}/documents.parquet"), None, bound_batches(spark)
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
@@ -149,4 +151,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs, before = spark.read.parquet(path), path
     while _left:
         remove(spark, _left.pop())
+    if bounded:
+        spark.conf.unset(BATCH_LIMIT)
     return docs

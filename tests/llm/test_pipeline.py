@@ -138,3 +138,26 @@ def test_decisions_meet_texts_either_way(spark, monkeypatch, tmp_path, limit):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4, 5, 6]
     cut = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs.filter("doc_id IN (0, 4, 5)"), FOLDER).collect()}
     assert cut[5] is None and a[:500] not in cut[4] and cut[0] == a[500:]
+
+
+def test_batches_of_stages_are_small(spark):
+    """A partition of long texts goes to Python in batches of some 2 MB, if the session names no limit."""
+    from tessera.session import BATCH_LIMIT
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["size", "n"])
+
+    docs = spark.range(0, 3_000, 1, 1).selectExpr("repeat('x', 8000) AS text")
+    spark.conf.unset(BATCH_LIMIT)
+    try:
+        for limit, least, most in ((None, 0, 3 << 20), ("9m", 6 << 20, 10 << 20)):
+            if limit:
+                spark.conf.set(BATCH_LIMIT, limit)
+            stage = corpus_pipeline.staged(lambda s, d, f: d.select("text").mapInArrow(sizes, "size long, n long"))
+            found = stage(spark, docs, FOLDER).collect()
+            assert sum(r.n for r in found) == 3_000 and least < max(r.size for r in found) < most
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
