@@ -7,10 +7,14 @@ rows the statement touched.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import localcontext
+from itertools import count
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.operators.graph import linked_groups
 from tessera.operators.ordering import join_on_keys, number_rows
@@ -122,6 +126,16 @@ def set_path(column: str, path: str, value: Column) -> Column:
     return F.col(column).withField(path, value)
 
 
+def _settle(held: dict, src, dst, qty) -> bool | None:
+    """Apply a move to the held balances if its source has enough; whether it had, NULL if that is not known."""
+    have = held[src]
+    done = None if have is None or qty is None or have != have or qty != qty else bool(have >= qty)
+    if done:
+        held[src] = have - qty
+        held[dst] = None if held[dst] is None else held[dst] + qty
+    return done
+
+
 def _walk_moves(names: list[str]):
     """Batch function that goes through the moves of each group in order and keeps the balances of its accounts."""
 
@@ -132,13 +146,9 @@ def _walk_moves(names: list[str]):
             for group, src, dst, qty, has, gets in zip(*[pdf[c] for c in ("__group", "src", "dst", "qty", "__has", "__gets")]):
                 if group != current:
                     current, held = group, {}
-                have = held.setdefault(src, has)
+                held.setdefault(src, has)
                 held.setdefault(dst, gets)
-                done = None if have is None or qty is None or have != have or qty != qty else bool(have >= qty)
-                if done:
-                    held[src] = have - qty
-                    held[dst] = None if held[dst] is None else held[dst] + qty
-                decided.append(done)
+                decided.append(_settle(held, src, dst, qty))
             out = pdf[names].copy()
             out["done"] = decided
             yield out
@@ -154,8 +164,8 @@ def transfer(accounts: DataFrame, moves: DataFrame, key: str, balance: str, grou
     the balance or ``qty`` is. Moves depend on each other only through the accounts they share, so accounts
     joined by moves form groups, and each group is walked in order by one task that keeps the balances of its
     accounts: any number of moves takes a fixed number of passes. A group of more than ``group_rows`` moves is
-    decided in rounds over all tasks instead: each round decides the moves whose source has no earlier undecided
-    move. Only accounts that moves touch are read along; the table is written once.
+    cut into blocks of so many instead, walked side by side from supposed balances until these are right. Only
+    accounts that moves touch are read along; the table is written once.
     """
     known = accounts.select(F.col(key).alias("__k"))
     live = cut_lineage(moves.join(known, F.col("src") == F.col("__k"), "left_semi")
@@ -168,14 +178,17 @@ def transfer(accounts: DataFrame, moves: DataFrame, key: str, balance: str, grou
     large = F.broadcast(large)
     funds = cut_lineage(accounts.select(F.col(key).alias("__k"), F.col(balance).alias("__b")).join(
         groups.select(F.col("node").alias("__k")), "__k"))
-    small = (grouped.join(large, "__group", "left_anti")
-             .join(funds.toDF("src", "__has"), "src").join(funds.toDF("dst", "__gets"), "dst")
+
+    def with_funds(rows):
+        return rows.join(funds.toDF("src", "__has"), "src").join(funds.toDF("dst", "__gets"), "dst")
+
+    small = (with_funds(grouped.join(large, "__group", "left_anti"))
              .repartition("__group").sortWithinPartitions("__group", "seq"))
     schema = T.StructType([*live.schema.fields, T.StructField("done", T.BooleanType())])
     decided = small.mapInPandas(_walk_moves(live.columns), schema).unionByName(strange)
-    many = grouped.join(large, "__group", "left_semi").drop("__group")
-    if many.take(1):
-        decided = decided.unionByName(_by_rounds(cut_lineage(many.select(*live.columns)), funds))
+    if large.take(1):
+        many = with_funds(grouped.join(large, "__group", "left_semi"))
+        decided = decided.unionByName(_by_blocks(many, max(group_rows, 1), live.columns))
     decided = cut_lineage(decided)
     deltas = _deltas(decided.filter("done"))
     change = F.coalesce("__d", F.lit(0))
@@ -191,23 +204,101 @@ def _deltas(good: DataFrame) -> DataFrame:
             .groupBy("__k").agg(F.sum("__d").alias("__d")))
 
 
-def _by_rounds(pending: DataFrame, funds: DataFrame) -> DataFrame:
-    """Moves with their outcome; every round decides the first undecided move at least."""
-    decided = None
-    kind = funds.schema["__b"].dataType
-    while True:
-        touches = pending.select(F.col("src").alias("__k"), "seq").unionByName(
-            pending.select(F.col("dst").alias("__k"), "seq"))
-        first = touches.groupBy("__k").agg(F.min("seq").alias("__first"))
-        ready = pending.join(first, (F.col("src") == F.col("__k")) & (F.col("seq") == F.col("__first"))).drop("__k", "__first")
-        judged = cut_lineage(ready.join(funds, F.col("src") == F.col("__k"))
-                             .withColumn("done", F.col("__b") >= F.col("qty")).drop("__k", "__b"))
-        funds = cut_lineage(funds.join(_deltas(judged.filter("done")), "__k", "left").select(
-            "__k", (F.col("__b") + F.coalesce("__d", F.lit(0))).cast(kind).alias("__b")))
-        decided = judged if decided is None else cut_lineage(decided.unionByName(judged))
-        pending = cut_lineage(pending.join(judged.select("seq"), "seq", "left_anti"))
-        if not pending.take(1):
-            return decided
+def _money(*kinds: T.DataType) -> T.DataType:
+    """A type that holds balances and amounts of these types and sums of them."""
+    if any(isinstance(k, T.FractionalType) and not isinstance(k, T.DecimalType) for k in kinds):
+        return T.DoubleType()
+    return T.DecimalType(37, max(k.scale if isinstance(k, T.DecimalType) else 0 for k in kinds))
+
+
+def _walk_blocks(schema: T.StructType):
+    """Batch function that goes through the moves of each block in order, after its balances (``qty`` at place 0).
+
+    It gives the outcome of each move, and at place 0 each account that a move of the block changed, with the
+    balance it leaves with and what it gained.
+    """
+    form = to_arrow_schema(schema)
+
+    def run(batches):
+        current, held, gains = None, {}, {}
+        for batch in batches:
+            out = []
+            with localcontext(prec=76):
+                for *block, place, src, dst, qty in zip(*[c.to_pylist() for c in batch.columns]):
+                    if block != current:
+                        out += [(*current, 0, k, held[k], gain, None) for k, gain in gains.items()] if gains else []
+                        current, held, gains = block, {}, {}
+                    if place == 0:
+                        held[src] = qty
+                        continue
+                    done = _settle(held, src, dst, qty)
+                    if done:
+                        gains[src] = gains.get(src, 0) - qty
+                        if held[dst] is not None:
+                            gains[dst] = gains.get(dst, 0) + qty
+                    out.append((*block, place, None, None, None, done))
+            yield _as_batch(out, form)
+        yield _as_batch([(*current, 0, k, held[k], gain, None) for k, gain in gains.items()], form)
+
+    return run
+
+
+def _as_batch(rows: list[tuple], form: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(form)
+    return pa.record_batch([pa.array(list(c), f.type) for c, f in zip(columns, form)], schema=form)
+
+
+def _by_blocks(paid: DataFrame, block_rows: int, columns: Sequence[str]) -> DataFrame:
+    """Moves of large groups with their outcome, walked in blocks of ``block_rows`` moves.
+
+    Every block is walked from the balances that its accounts have if the blocks before it did as they last did,
+    at first from those before all moves; blocks whose balances come out different are walked again. After each
+    round one block more has its final balances, so there are as many rounds as blocks in a group at most, and
+    few where blocks do little to each other. A final balance is the one the block before left, not a sum, so
+    floating point gives what one walk gives.
+    """
+    kind = _money(paid.schema["__has"].dataType, paid.schema["qty"].dataType)
+    block, known = ["__group", "__block"], F.col("seq").isNotNull().alias("__known")
+    rows = number_rows(paid.select("*", known), ["__group"], ["__known", "seq"], "__pos")
+    rows = cut_lineage(rows.withColumn("__block", F.floor((F.col("__pos") - 1) / block_rows)))
+
+    def side(account, at, balance):
+        return rows.select(*block, F.col(account).alias("__k"),
+                           F.struct("__pos", F.lit(at).alias("at"), F.col(balance).cast(kind).alias("b")).alias("__first"))
+
+    touched = side("src", 0, "__has").unionByName(side("dst", 1, "__gets")).groupBy(*block, "__k").agg(
+        F.min("__first").alias("__first"))
+    by_block = Window.partitionBy("__k").orderBy("__block")
+    held = cut_lineage(touched.select(*block, "__k", F.first("__first").over(by_block)["b"].alias("__start"))
+                       .withColumn("__entry", F.col("__start")))
+    place, account = T.LongType(), held.schema["__k"].dataType
+    schema = T.StructType([T.StructField(*f) for f in [
+        ("__group", rows.schema["__group"].dataType), ("__block", place), ("__pos", place), ("__k", account),
+        ("__exit", kind), ("__gain", kind), ("done", T.BooleanType())]])
+    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    moves = rows.select(*block, "__pos", "src", "dst", F.col("qty").cast(kind).alias("qty"))
+    judged = again = None
+    for final in count(1):  # blocks before this one are right at the end of the round
+        walked = moves.unionByName(held.select(
+            *block, F.lit(0).cast(place).alias("__pos"), F.col("__k").alias("src"), F.lit(None).cast(account).alias("dst"),
+            F.col("__entry").alias("qty")))
+        if again is not None:
+            walked = walked.join(again, block, "left_semi")
+        walked = cut_lineage(walked.repartition(*block).sortWithinPartitions(*block, "__pos")
+                             .mapInArrow(_walk_blocks(schema), schema))
+        judged = walked if judged is None else cut_lineage(judged.join(again, block, "left_anti").unionByName(walked))
+        ends = judged.filter("__pos = 0").select(*block, "__k", "__exit", "__gain")
+        left = F.last(F.when(F.col("__block") < final, F.col("__exit")), ignorenulls=True).over(before)
+        more = F.sum(F.when(F.col("__block") >= final, F.col("__gain"))).over(before).cast(kind)
+        entry = F.coalesce(left, "__start") + F.coalesce(more, F.lit(0).cast(kind))
+        held = cut_lineage(held.join(ends, [*block, "__k"], "left").select(
+            *block, "__k", "__start", F.col("__entry").alias("__was"), entry.cast(kind).alias("__entry")))
+        again = cut_lineage(held.filter(~F.col("__entry").eqNullSafe(F.col("__was"))).select(*block).distinct())
+        if not again.take(1):
+            break
+        again = F.broadcast(again)  # moves / block_rows at most
+    outcome = judged.filter("__pos > 0").select("__group", "__pos", "done")
+    return rows.join(outcome, ["__group", "__pos"]).select(*columns, "done")
 
 
 def patch(target: DataFrame, changes: DataFrame, key: str, allowed: Sequence[str]) -> tuple[DataFrame, DataFrame]:
